@@ -1,3 +1,4 @@
 """Imports every query module so that the registry is filled."""
 
 from tabrix.plans import q_encoders  # noqa: F401
+from tabrix.plans import q_scalar  # noqa: F401
