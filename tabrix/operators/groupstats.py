@@ -130,6 +130,7 @@ def add_group_count(df: DataFrame, key: str, id_col: str = "id",
 
     Aggregate then join back: partial aggregation absorbs a hot key; the join side is one
     row per key, so AQE's skew join only has to split the row side."""
-    cnt = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(id_col).alias(name))
-    j = df.join(cnt, df[key] == cnt[key], "left")  # NULL key -> NULL count
-    return j.select(*[df[c] for c in df.columns], cnt[name])
+    cnt = (df.where(F.col(key).isNotNull()).groupBy(key)
+             .agg(F.count(id_col).alias(name)).withColumnRenamed(key, "_tbx_key"))
+    j = df.join(cnt, df[key] == cnt["_tbx_key"], "left")  # NULL key -> NULL count
+    return j.drop("_tbx_key")
