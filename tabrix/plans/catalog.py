@@ -4,3 +4,4 @@ from tabrix.plans import q_encoders  # noqa: F401
 from tabrix.plans import q_scalar  # noqa: F401
 from tabrix.plans import q_relational  # noqa: F401
 from tabrix.plans import q_sampling  # noqa: F401
+from tabrix.plans import q_metrics  # noqa: F401
