@@ -82,19 +82,14 @@ def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def grouped_means(df: DataFrame, keys: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """Means of every target for every key, in one scan: long table
-    (key_col, level, target_col, mean).  NULL levels are dropped (they never match)."""
-    pieces = []
-    for k in keys:
-        for t in targets:
-            pieces.append(F.struct(F.lit(k).alias("key_col"),
-                                   F.col(k).cast("string").alias("level"),
-                                   F.lit(t).alias("target_col"),
-                                   F.col(t).cast("double").alias("v")))
+    """Means of every target for every key, in one scan: (key_col, level, <target>...).
+    Rows are unpivoted over the keys only (Expand before the partial aggregate); NULL
+    levels are dropped (they never match)."""
+    pieces = [F.struct(F.lit(k).alias("key_col"), F.col(k).cast("string").alias("level"),
+                       *[F.col(t).cast("double").alias(t) for t in targets]) for k in keys]
     long = df.select(F.explode(F.array(*pieces)).alias("s")).select("s.*")
-    return (long.where(F.col("level").isNotNull())
-                .groupBy("key_col", "level", "target_col")
-                .agg(F.avg("v").alias("mean")))
+    return (long.where(F.col("level").isNotNull()).groupBy("key_col", "level")
+                .agg(*[F.avg(t).alias(t) for t in targets]))
 
 
 def add_group_means(df: DataFrame, keys: Sequence[str], targets: Sequence[str],
@@ -103,24 +98,24 @@ def add_group_means(df: DataFrame, keys: Sequence[str], targets: Sequence[str],
                     ) -> DataFrame:
     """For each (key, target) add the group mean (and ``x/(mean+1e-5)``) to rows.
 
-    Statistics come from ``fit_on`` (default: ``df`` itself).  The long statistics table is
-    checkpointed and its size counted; each key's slice is broadcast behind that count.
-    """
+    Statistics come from ``fit_on`` (default: ``df`` itself) in one scan.  The statistics
+    table (one row per key level) is checkpointed and counted; each key's slice is
+    broadcast behind that count, otherwise joined by shuffle (AQE handles a hot level)."""
     stats = materialize(grouped_means(fit_on if fit_on is not None else df, keys, targets))
     n_stats = stats.count()
     out = df
     cols = list(df.columns)
     for k in keys:
-        wide = (stats.where(F.col("key_col") == k)
-                .groupBy("level").pivot("target_col", list(targets)).agg(F.first("mean")))
-        wide = wide.select("level", *[F.col(t).alias(f"_m_{k}_{t}") for t in targets])
+        wide = stats.where(F.col("key_col") == k).select(
+            F.col("level").alias(f"_lvl_{k}"), *[F.col(t).alias(f"_m_{k}_{t}") for t in targets])
         out = out.join(sized_broadcast(wide, n_stats),
-                       out[k].cast("string") == wide["level"], "left").drop("level")
+                       out[k].cast("string") == wide[f"_lvl_{k}"], "left")
         for t in targets:
             m = F.col(f"_m_{k}_{t}")
             cols.append(m.alias(mean_fmt.format(t=t, k=k)))
             if ratio:
-                cols.append((F.col(t) / (m + F.lit(EPS))).alias(ratio_fmt.format(t=t, k=k)))
+                cols.append(F.try_divide(F.col(t).cast("double"), m + F.lit(EPS))
+                            .alias(ratio_fmt.format(t=t, k=k)))
     return out.select(*cols)
 
 
