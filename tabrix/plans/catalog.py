@@ -6,3 +6,4 @@ from tabrix.plans import q_relational  # noqa: F401
 from tabrix.plans import q_sampling  # noqa: F401
 from tabrix.plans import q_metrics  # noqa: F401
 from tabrix.plans import q_models  # noqa: F401
+from tabrix.plans import q_recipes  # noqa: F401

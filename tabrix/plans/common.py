@@ -36,3 +36,10 @@ sp AS (SELECT c.*, row_number() OVER (ORDER BY md5(concat(CAST(id AS VARCHAR), '
 train AS (SELECT * EXCLUDE (_rk, _n) FROM sp WHERE _rk > ceil(0.2 * _n)),
 test AS (SELECT * EXCLUDE (_rk, _n, y) FROM sp WHERE _rk <= ceil(0.2 * _n))
 """
+
+
+def round_doubles(df: DataFrame) -> DataFrame:
+    """Round every double column to 6 decimals (comparison form of feature tables)."""
+    return df.select(*[F.round(F.col(f"`{f.name}`"), R6).alias(f.name)
+                       if f.dataType.typeName() == "double" else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])

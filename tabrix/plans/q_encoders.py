@@ -214,11 +214,3 @@ def e6(spark, sf):
     out = enc.MedianImputer.transform(te.select("id", *_E6), med)
     return out.select("id", *[rnd(c, c) for c in _E6])
 
-
-@query("recipe_f2")
-def recipe_f2_q(spark, sf):
-    """F2 recipe on the tagged train+test union (fingerprint counts, 4x3 group means and
-    ratios, cyclic month, ordinal codes fitted on the union)."""
-    from tabrix.plans import recipes as RC
-    tr, te = train_test(spark, sf)
-    return RC.recipe_f2(RC.tagged_union(tr, te))

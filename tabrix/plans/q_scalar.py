@@ -171,17 +171,17 @@ def m16(spark, sf):
     return d.select("id", "age", M.fixed_cut("age").alias("age_group"))
 
 
-def _edges_sql(col: str, k: int) -> str:
-    """DuckDB CTE `ed(i, e)` of k equal-width edges of `col` over campaign."""
+def _edges_sql(col: str, k: int, src: str = "campaign", sfx: str = "") -> str:
+    """DuckDB CTEs ending in `ed{sfx}(i, e)`: k equal-width edges of `col` over `src`."""
     return f"""
-mm AS (SELECT CAST(min({col}) AS DOUBLE) AS lo0, CAST(max({col}) AS DOUBLE) AS hi0 FROM campaign),
-mm2 AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - (CASE WHEN lo0 = 0 THEN 0.001 ELSE abs(lo0) * 0.001 END) ELSE lo0 END AS lo,
+mm{sfx} AS (SELECT CAST(min({col}) AS DOUBLE) AS lo0, CAST(max({col}) AS DOUBLE) AS hi0 FROM {src}),
+mm2{sfx} AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - (CASE WHEN lo0 = 0 THEN 0.001 ELSE abs(lo0) * 0.001 END) ELSE lo0 END AS lo,
                CASE WHEN lo0 = hi0 THEN hi0 + (CASE WHEN hi0 = 0 THEN 0.001 ELSE abs(hi0) * 0.001 END) ELSE hi0 END AS hi,
-               lo0 = hi0 AS const FROM mm),
-ed AS (SELECT i, CASE WHEN i = {k} THEN hi
+               lo0 = hi0 AS const FROM mm{sfx}),
+ed{sfx} AS (SELECT i, CASE WHEN i = {k} THEN hi
                       WHEN i = 0 AND NOT const THEN (lo) - (hi - lo) * 0.001
                       ELSE CAST(i AS DOUBLE) * ((hi - lo) / {float(k)}) + lo END AS e
-       FROM mm2 CROSS JOIN range(0, {k + 1}) t(i))"""
+       FROM mm2{sfx} CROSS JOIN range(0, {k + 1}) t(i))"""
 
 
 def _round_frac_sql(x: str) -> str:
