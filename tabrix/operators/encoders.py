@@ -296,3 +296,91 @@ class MedianImputer:
         return df.select(*[
             (F.coalesce(F.col(c).cast("double"), F.lit(float(med[c]))).alias(c)
              if med.get(c) is not None else F.col(c)) for c in df.columns])
+
+
+# ---------------------------------------------------------------- E2+E3+E4 in one pass
+class EncoderSet:
+    """Target (E4), frequency (E3) and label (E2) encodings of many columns fitted in
+    ONE scan of the training rows: (feature, level) -> n, sum(y), n_all; one checkpointed
+    table; one broadcast join per column at transform time carrying all three values.
+
+    Level text: the string form, NULL -> 'nan' for the label codes (the text form of a
+    missing value); target and frequency statistics ignore NULL levels, and a NULL input is
+    treated as unseen by them.  Unseen: target -> unweighted mean of the encodings,
+    frequency -> the smallest fitted frequency, label -> ``unknown_value``."""
+
+    def __init__(self, cols: Sequence[str], target: str = "y", smoothing: float = 10.0,
+                 freq_levels: dict[str, Sequence[str]] | None = None,
+                 unknown_value: int = -1):
+        self.cols, self.target, self.m = list(cols), target, float(smoothing)
+        self.freq_levels = freq_levels or {}
+        self.unknown_value = unknown_value
+
+    def fit(self, df: DataFrame) -> "FittedEncoderSet":
+        structs = [F.struct(F.lit(c).alias("feature"),
+                            F.coalesce(F.col(c).cast("string"), F.lit(NAN_TEXT)).alias("level"),
+                            F.col(c).isNull().alias("isnull"),
+                            F.col(self.target).cast("double").alias("t"))
+                   for c in self.cols]
+        lv = df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+        st = lv.groupBy("feature", "level").agg(
+            F.count(F.when(~F.col("isnull"), 1)).alias("n"),
+            F.sum(F.when(~F.col("isnull"), F.col("t"))).alias("sy"),
+            F.count(F.lit(1)).alias("n_all"))
+        if self.freq_levels:
+            fixed = df.sparkSession.createDataFrame(
+                [(c, x) for c, ls in self.freq_levels.items() for x in ls],
+                "feature string, level string")
+            st = (fixed.join(st, ["feature", "level"], "full")
+                  .select("feature", "level", F.coalesce("n", F.lit(0)).alias("n"),
+                          "sy", F.coalesce("n_all", F.lit(0)).alias("n_all")))
+        g = df.agg(F.avg(F.col(self.target).cast("double"))).scalar()
+        tot = st.groupBy("feature").agg(F.sum("n").alias("_tot"))
+        m = F.lit(self.m)
+        st = st.join(F.broadcast(tot), "feature").select(
+            "feature", "level", "n", "n_all",
+            F.when(F.col("n") > 0, (F.col("sy") + g * m) / (F.col("n") + m)).alias("enc"),
+            F.when((F.col("n") > 0) | (F.col("n_all") == 0), F.col("n") / F.col("_tot"))
+             .alias("freq"))
+        seen = st.where(F.col("n_all") > 0)
+        codes = exact_rank(seen.select("feature", "level"), ["level"], by=["feature"],
+                           name="code")
+        table = (st.join(codes, ["feature", "level"], "left")
+                 .select("feature", "level", "enc", "freq",
+                         (F.col("code") - 1).cast("int").alias("code")))
+        lk = _fit_table(table, ["enc", "freq", "code"], NAN_TEXT,
+                        default_aggs=[F.avg("enc").alias("enc"), F.min("freq").alias("freq")])
+        return FittedEncoderSet(lk, self)
+
+
+class FittedEncoderSet:
+    def __init__(self, lk: FittedLookup, spec: EncoderSet):
+        self.lookup, self.spec = lk, spec
+
+    def transform(self, df: DataFrame, cols: Sequence[str] | None = None,
+                  target_suffix: str = "_target_enc", freq_suffix: str = "_freq",
+                  replace_with_code: bool = True) -> DataFrame:
+        cols = list(cols or self.spec.cols)
+        res, new = df, {}
+        for i, c in enumerate(cols):
+            t = (self.lookup.table.where(F.col("feature") == c)
+                 .select(F.col("level").alias(f"_tbx_l{i}"), F.col("enc").alias(f"_tbx_e{i}"),
+                         F.col("freq").alias(f"_tbx_f{i}"), F.col("code").alias(f"_tbx_c{i}")))
+            t = sized_broadcast(t, self.lookup.rows)
+            lvl = F.coalesce(res[c].cast("string"), F.lit(NAN_TEXT))
+            isnull = res[c].isNull()
+            res = res.join(t, lvl == t[f"_tbx_l{i}"], "left")
+            d = self.lookup.defaults.get(c, {})
+            enc_v = F.when(isnull, F.lit(d.get("enc"))).otherwise(
+                F.coalesce(F.col(f"_tbx_e{i}"), F.lit(d.get("enc"))))
+            frq_v = F.when(isnull, F.lit(d.get("freq"))).otherwise(
+                F.coalesce(F.col(f"_tbx_f{i}"), F.lit(d.get("freq"))))
+            code_v = F.coalesce(F.col(f"_tbx_c{i}"), F.lit(self.spec.unknown_value)).cast("int")
+            new[c] = (enc_v.cast("double"), frq_v.cast("double"), code_v)
+        sel = [new[c][2].alias(c) if (replace_with_code and c in new) else F.col(c)
+               for c in df.columns]
+        sel += [new[c][0].alias(c + target_suffix) for c in cols]
+        sel += [new[c][1].alias(c + freq_suffix) for c in cols]
+        if not replace_with_code:
+            sel += [new[c][2].alias(c + "_code") for c in cols]
+        return res.select(*sel)

@@ -86,9 +86,7 @@ def _l_base(df: DataFrame, bal_min, sentinel: int, interactions: bool, keep_mont
 @dataclass
 class FittedL:
     bal_min: float
-    target: enc.FittedLookup
-    freq: enc.FittedLookup
-    label: enc.FittedOrdinal
+    encoders: enc.FittedEncoderSet
     cats: list[str]
     sentinel: int
     interactions: bool
@@ -96,21 +94,18 @@ class FittedL:
     def transform(self, df: DataFrame) -> DataFrame:
         base = _l_base(df, self.bal_min, self.sentinel, self.interactions,
                        keep_month=self.interactions)
-        out = enc.target_transform(self.target, base, self.cats)
-        out = enc.frequency_transform(self.freq, out, self.cats)
-        return self.label.transform(out, self.cats)
+        return self.encoders.transform(base, self.cats)
 
 
 def fit_recipe_l(train: DataFrame, sentinel: int = -1, interactions: bool = False) -> FittedL:
-    """Fit the encoder notebooks' state on train (L; ``interactions=True`` gives T).
-    The reference used 999 as the no-contact sentinel; -1 is the data's sentinel."""
+    """Fit the encoder notebooks' state on train (L; ``interactions=True`` gives T):
+    balance minimum, then target / frequency / label encodings of every categorical column
+    in one scan.  The reference used 999 as the no-contact sentinel; -1 is the data's."""
     bal_min = train.agg(F.min("balance")).first()[0]
     base = _l_base(train, bal_min, sentinel, interactions, keep_month=interactions)
     cats = T_CATS if interactions else ENC_CATS
-    target = enc.TargetEncoder(cats, "y", 10).fit(base)
-    freq = enc.FrequencyEncoder(cats, levels={"age_group": M.AGE_LABELS}).fit(base)
-    label = enc.OrdinalEncoder(cats, null_as="nan").fit(base)
-    return FittedL(bal_min, target, freq, label, cats, sentinel, interactions)
+    encs = enc.EncoderSet(cats, "y", 10, freq_levels={"age_group": M.AGE_LABELS}).fit(base)
+    return FittedL(bal_min, encs, cats, sentinel, interactions)
 
 
 def recipe_f1(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
