@@ -217,3 +217,48 @@ def v10(spark, sf):
     """Per-row path contributions on the test rows, summarised per feature."""
     trf, tef, feats = f3_frames(spark, sf)
     return X.contribution_summary(G.fit_gbt(trf, feats, QCFG), tef)
+
+
+# ---- whole workflows (small budgets: the loops are the reference's, sizes are not) ----
+def _wf_budget():
+    from tabrix.plans.workflows import Budget
+    return Budget(trials=2, folds=3, rounds=8, depth=4, seeds=(42, 2024), forest_trees=10)
+
+
+@query("wf_onehot_cv")
+def wf_onehot_cv(spark, sf):
+    """Lifecycle 1: one-hot features, CV search, OOF + averaged test, F1 threshold,
+    headerless submission (read back)."""
+    from tabrix.plans import workflows as WF
+    from tabrix.sources import io
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+    tr, te = train_test(spark, sf)
+    out = io.scratch_path(spark, "wf_onehot_cv")
+    WF.onehot_cv(tr.select(*CAMPAIGN_COLUMNS), te, out, _wf_budget())
+    return spark.read.schema("id long, y int").csv(out)
+
+
+@query("wf_encoders_holdout")
+def wf_encoders_holdout(spark, sf):
+    """Lifecycle 2: fitted encoders, holdout search, refit, threshold, submission."""
+    from tabrix.plans import workflows as WF
+    from tabrix.sources import io
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+    tr, te = train_test(spark, sf)
+    out = io.scratch_path(spark, "wf_encoders_holdout")
+    WF.encoders_holdout(tr.select(*CAMPAIGN_COLUMNS), te, out, _wf_budget())
+    return spark.read.schema("id long, y int").csv(out)
+
+
+@query("wf_hybrid_ensemble")
+def wf_hybrid_ensemble(spark, sf):
+    """Lifecycle 3: carved pseudo-test (no test file), F3 features, seeds x folds boosted
+    trees + forest, blend, pseudo-labels, refit, final blend; submission with header."""
+    from tabrix.plans import workflows as WF
+    from tabrix.sources import io
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+    d = camp(spark, sf).select(*CAMPAIGN_COLUMNS)
+    tr, te = io.read_or_holdout(spark, d, f"{sf}/missing_test.csv", 2000, 99, 1_000_000_000)
+    out = io.scratch_path(spark, "wf_hybrid_ensemble")
+    WF.hybrid_ensemble(tr, te, out, _wf_budget())
+    return spark.read.schema("id long, y double").option("header", True).csv(out)
