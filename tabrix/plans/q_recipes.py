@@ -220,3 +220,24 @@ def recipe_t(spark, sf):
     tr, te = train_test(spark, sf)
     fitted = RC.fit_recipe_l(tr.select(*CAMPAIGN_COLUMNS), sentinel=-1, interactions=True)
     return round_doubles(fitted.transform(te))
+
+
+@query("stream_encode_test", _l_sql(False))
+def stream_encode_test(spark, sf):
+    """The fitted-encoder recipe applied to the test rows arriving as a stream: test rows
+    are landed as parquet files, read with ``readStream``, encoded with state fitted on the
+    batch train part (stream-static joins), written by an ``availableNow`` query and read
+    back.  Same rows as ``recipe_l``."""
+    import uuid
+
+    from tabrix.sources import io
+    from tabrix.streaming import scoring as ST
+    tr, te = train_test(spark, sf)
+    fitted = RC.fit_recipe_l(tr.select(*CAMPAIGN_COLUMNS), sentinel=-1, interactions=False)
+    tag = uuid.uuid4().hex[:10]
+    src = io.scratch_path(spark, f"stream_src_{tag}")
+    te.write.mode("overwrite").parquet(src)
+    stream = ST.read_stream(spark, src, te.schema, max_files_per_trigger=4)
+    sink = io.scratch_path(spark, f"stream_sink_{tag}")
+    ST.run_available(ST.score_stream(stream, lambda d: round_doubles(fitted.transform(d))), sink)
+    return spark.read.parquet(sink)
