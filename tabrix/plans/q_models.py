@@ -252,13 +252,14 @@ def wf_encoders_holdout(spark, sf):
 
 @query("wf_hybrid_ensemble")
 def wf_hybrid_ensemble(spark, sf):
-    """Lifecycle 3: carved pseudo-test (no test file), F3 features, seeds x folds boosted
-    trees + forest, blend, pseudo-labels, refit, final blend; submission with header."""
+    """Lifecycle 3 on the exact 20% train/test split: F3 features on the tagged union,
+    seeds x folds boosted trees + imputed forest, 0.7/0.3 blend, pseudo-labels from the
+    extremes, refit, 0.6/0.4 blend; submission with header (read back)."""
     from tabrix.plans import workflows as WF
     from tabrix.sources import io
     from tabrix.sources.fixture import CAMPAIGN_COLUMNS
-    d = camp(spark, sf).select(*CAMPAIGN_COLUMNS)
-    tr, te = io.read_or_holdout(spark, d, f"{sf}/missing_test.csv", 2000, 99, 1_000_000_000)
+    tr, te = train_test(spark, sf)
+    tr = tr.select(*CAMPAIGN_COLUMNS)
     out = io.scratch_path(spark, "wf_hybrid_ensemble")
     WF.hybrid_ensemble(tr, te, out, _wf_budget())
     return spark.read.schema("id long, y double").option("header", True).csv(out)
