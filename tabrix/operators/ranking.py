@@ -32,13 +32,17 @@ def _col(c) -> Column:
 
 def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
                    by: Sequence[str] = (), bucket: Column | None = None,
-                   num_buckets: int | None = None) -> DataFrame:
+                   num_buckets: int | None = None, lag: Sequence[str] = ()) -> DataFrame:
     """Add, for every name in ``sums``, the inclusive running sum of its expression over
     the rows of each ``by`` group taken in ``order`` (which must be a total order within a
     group, e.g. end with a unique id, so the result is deterministic).
 
     ``bucket``: optional Column, non-decreasing along ``order`` within each group.  When it
     is None the rows are range-partitioned on (by, order) into ``num_buckets`` slices.
+    ``lag``: columns whose value on the previous row of the group is added as
+    ``prev_<col>`` (NULL on the first row); across a bucket boundary it comes from the last
+    row of the nearest earlier bucket, carried in the same small offsets table.  Ascending
+    plain-column orders only.
     """
     by = list(by)
     order_cols = [_col(c) for c in order]
@@ -60,33 +64,46 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     tmp = {n: f"_tbx_v_{i}" for i, n in enumerate(names)}
     keyed = keyed.select("*", *[sums[n].alias(tmp[n]) for n in names])
 
-    # totals per (bucket, group) -> exclusive running sums across buckets = offsets
-    tot = keyed.groupBy(_BUCKET, *by).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in names])
+    lag = list(lag)
+    okey = F.struct(*order_cols)
+    # totals per (bucket, group) -> exclusive running sums across buckets = offsets;
+    # the last row's lag columns of each (bucket, group), shifted by one bucket.
+    tot = keyed.groupBy(_BUCKET, *by).agg(
+        *[F.sum(tmp[n]).alias(tmp[n]) for n in names],
+        *[F.max_by(F.col(c), okey).alias(f"_tbx_last_{c}") for c in lag])
     w_off = (Window.partitionBy(*by).orderBy(_BUCKET)
              .rowsBetween(Window.unboundedPreceding, -1))
+    w_prev = Window.partitionBy(*by).orderBy(_BUCKET)
     offs = tot.select(_BUCKET, *by, *[
-        F.coalesce(F.sum(tmp[n]).over(w_off), F.lit(0)).alias(tmp[n] + "_off") for n in names])
+        F.coalesce(F.sum(tmp[n]).over(w_off), F.lit(0)).alias(tmp[n] + "_off") for n in names],
+        *[F.lag(f"_tbx_last_{c}").over(w_prev).alias(f"_tbx_plast_{c}") for c in lag])
     if small_offsets:
         offs = F.broadcast(offs)
 
     w_loc = (Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    loc = keyed.select("*", *[F.sum(tmp[n]).over(w_loc).alias(tmp[n] + "_loc") for n in names])
+    w_row = Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
+    loc = keyed.select("*", *[F.sum(tmp[n]).over(w_loc).alias(tmp[n] + "_loc") for n in names],
+                       *([F.row_number().over(w_row).alias("_tbx_lrn")] if lag else []),
+                       *[F.lag(c).over(w_row).alias(f"_tbx_llag_{c}") for c in lag])
 
     cond = [loc[_BUCKET] == offs[_BUCKET]] + [loc[b].eqNullSafe(offs[b]) for b in by]
     j = loc.join(offs, cond, "inner")
     out_cols = [loc[c] for c in df.columns]
     return j.select(*out_cols, *[
-        (offs[tmp[n] + "_off"] + loc[tmp[n] + "_loc"]).alias(n) for n in names])
+        (offs[tmp[n] + "_off"] + loc[tmp[n] + "_loc"]).alias(n) for n in names], *[
+        F.when(loc["_tbx_lrn"] == 1, offs[f"_tbx_plast_{c}"])
+         .otherwise(loc[f"_tbx_llag_{c}"]).alias(f"prev_{c}") for c in lag])
 
 
 def exact_rank(df: DataFrame, order: Sequence, by: Sequence[str] = (), name: str = "rank",
-               bucket: Column | None = None, num_buckets: int | None = None) -> DataFrame:
+               bucket: Column | None = None, num_buckets: int | None = None,
+               lag: Sequence[str] = ()) -> DataFrame:
     """``row_number()`` over (partition by ``by`` order by ``order``), computed exactly and
-    without single-task windows.  ``order`` must be unique within a group."""
-    r = ordered_prefix(df, order, {name: F.lit(1).cast("long")}, by=by, bucket=bucket,
-                       num_buckets=num_buckets)
-    return r
+    without single-task windows.  ``order`` must be unique within a group.  ``lag`` adds
+    ``prev_<col>`` as ``lag(col)`` over the same window would."""
+    return ordered_prefix(df, order, {name: F.lit(1).cast("long")}, by=by, bucket=bucket,
+                          num_buckets=num_buckets, lag=lag)
 
 
 # md5 ordering key used by every seeded operator: identical digest in Spark and DuckDB.

@@ -73,3 +73,20 @@ def test_stratified_quota():
     q = S.stratified_quota({0: 855, 1: 145}, 0.2)
     assert sum(q.values()) == 200 and q == {0: 171, 1: 29}
     assert isinstance(pd.__version__, str)
+
+
+def test_lag_across_buckets(spark):
+    # one hot group spanning many range buckets: prev_ equals lag() over the plain window
+    df = spark.range(0, 3000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50).alias("g"),
+        (F.rand(3) * 100).cast("int").alias("t"), (F.col("id") * 7 % 11).alias("v"))
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    a = exact_rank(df, ["t", "id"], by=["g"], name="rn", lag=["v", "t"]).toPandas()
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    w = Window.partitionBy("g").orderBy("t", "id")
+    b = df.select("id", F.row_number().over(w).alias("rn2"), F.lag("v").over(w).alias("pv"),
+                  F.lag("t").over(w).alias("pt")).toPandas()
+    m = a.merge(b, on="id")
+    assert (m["rn"] == m["rn2"]).all()
+    assert (m["prev_v"].fillna(-1) == m["pv"].fillna(-1)).all()
+    assert (m["prev_t"].fillna(-1) == m["pt"].fillna(-1)).all()
