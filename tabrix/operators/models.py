@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.operators.sampling import holdout, kfold
+from tabrix.session import checkpoint_dir, materialize
 
 MISSING = -999.0  # fixed fill for missing feature values before vector assembly
 
@@ -83,6 +84,7 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
     if val_col:
         kw["validationIndicatorCol"] = val_col
         kw["validationTol"] = cfg.validation_tol
+    checkpoint_dir(df.sparkSession)  # MLlib checkpointInterval needs the shared folder
     est = GBTClassifier(**kw)
     cols = [label] + ([weight] if weight else []) + ([val_col] if val_col else [])
     data = assemble(d.select(*cols, *features), features)
@@ -102,6 +104,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
         kw["weightCol"] = weight
     cols = [label] + ([weight] if weight else [])
     data = assemble(df.select(*cols, *features), features)
+    checkpoint_dir(df.sparkSession)
     return Fitted(RandomForestClassifier(**kw).fit(data), list(features), "forest")
 
 
@@ -117,13 +120,16 @@ def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
 
 
 def class_weights(df: DataFrame, y: str = "y", name: str = "w") -> DataFrame:
-    """Balanced weights n / (k * n_c) attached to every row (k classes; the
-    per-class table has k rows and is broadcast)."""
-    cc = df.groupBy(y).agg(F.count(F.lit(1)).alias("_nc"))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    k = cc.agg(F.count(F.lit(1))).scalar()
-    w = cc.select(y, (n / (k * F.col("_nc"))).alias(name))
-    return df.join(F.broadcast(w), y, "left")
+    """Balanced weights n / (k * n_c) attached to every row.  The per-class counts are
+    one small aggregate (class count checked), so the k-row weight table is broadcast."""
+    from tabrix.operators.sampling import class_counts
+    cc = class_counts(df, y)
+    n, k = sum(cc.values()), len(cc)
+    ytype = df.schema[y].dataType.simpleString()
+    w = df.sparkSession.createDataFrame([(c, n / (k * nc)) for c, nc in cc.items()],
+                                        f"_tbx_y {ytype}, {name} double")
+    j = df.join(F.broadcast(w), df[y].eqNullSafe(w["_tbx_y"]), "left")
+    return j.drop("_tbx_y")
 
 
 FitFn = Callable[[DataFrame], Fitted]
@@ -134,9 +140,12 @@ def oof(df: DataFrame, fit: FitFn, k: int = 5, seed: int = 42, y: str = "y",
     """Out-of-fold scores -- each row scored by the model that did not see it -- and,
     if ``test`` is given, every fold model's test scores.  Returns (oof, test_scores) with
     columns (id, [y,] fold, seed, model, p).  The fold-tagged frame is checkpointed once
-    so that every fold fit reads the same materialised split."""
-    from tabrix.session import materialize
-    folded = materialize(kfold(df, k=k, seed=seed, y=y, id_col=id_col))
+    so that every fold fit reads the same materialised split (a frame that already has a
+    ``fold`` column is used as it is)."""
+    if "fold" in df.columns:
+        folded = df
+    else:
+        folded = materialize(kfold(df, k=k, seed=seed, y=y, id_col=id_col))
     parts, tparts = [], []
     for f in range(k):
         fitted = fit(folded.where(F.col("fold") != f))

@@ -14,6 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabrix.operators.joins import sized_broadcast
 from tabrix.operators.ranking import exact_rank
 from tabrix.session import checkpoint_dir
 
@@ -52,8 +53,10 @@ def derive_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
                      lag=["od", "o_orderstatus"])
           .withColumnRenamed("prev_od", "pd").withColumnRenamed("prev_o_orderstatus", "ps"))
 
-    geo = n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)  # 25 x 5 rows by spec
-    cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey)
+    # dimension tables: broadcast behind their measured row counts (parquet metadata)
+    n_nat, n_reg = n.count(), r.count()
+    geo = n.join(sized_broadcast(r, n_reg, 100_000), n.n_regionkey == r.r_regionkey)
+    cust = c.join(sized_broadcast(geo, n_nat, 100_000), c.c_nationkey == geo.n_nationkey)
     base = (ol.join(cust, ol.o_custkey == cust.c_custkey)
               .join(li, ol.o_orderkey == li.l_orderkey, "left"))
 
