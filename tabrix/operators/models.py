@@ -136,19 +136,24 @@ FitFn = Callable[[DataFrame], Fitted]
 
 
 def oof(df: DataFrame, fit: FitFn, k: int = 5, seed: int = 42, y: str = "y",
-        test: DataFrame | None = None, model: str = "m", id_col: str = "id"):
+        test: DataFrame | None = None, model: str = "m", id_col: str = "id",
+        parallelism: int | None = None):
     """Out-of-fold scores -- each row scored by the model that did not see it -- and,
     if ``test`` is given, every fold model's test scores.  Returns (oof, test_scores) with
     columns (id, [y,] fold, seed, model, p).  The fold-tagged frame is checkpointed once
     so that every fold fit reads the same materialised split (a frame that already has a
-    ``fold`` column is used as it is)."""
+    ``fold`` column is used as it is).  The k fits are independent Spark jobs and are
+    submitted from ``parallelism`` driver threads (default k), as MLlib's own
+    cross-validator does; results do not depend on the order they finish in."""
+    from concurrent.futures import ThreadPoolExecutor
     if "fold" in df.columns:
         folded = df
     else:
         folded = materialize(kfold(df, k=k, seed=seed, y=y, id_col=id_col))
+    with ThreadPoolExecutor(max_workers=max(1, parallelism or k)) as pool:
+        fits = list(pool.map(lambda f: fit(folded.where(F.col("fold") != f)), range(k)))
     parts, tparts = [], []
-    for f in range(k):
-        fitted = fit(folded.where(F.col("fold") != f))
+    for f, fitted in enumerate(fits):
         sc = score(fitted, folded.where(F.col("fold") == f), keep=(id_col, y))
         parts.append(sc.select(id_col, y, F.lit(f).alias("fold"), "p"))
         if test is not None:

@@ -19,11 +19,24 @@ def camp(spark: SparkSession, sf: str) -> DataFrame:
     return campaign(spark, sf)
 
 
+_splits: dict[tuple, str] = {}
+
+
 def train_test(spark: SparkSession, sf: str, frac: float = 0.2, seed: int = 42):
     """X4 holdout on the campaign view: test = exact ceil(frac*n) rows in seeded order,
-    without ``y``; train = the rest."""
+    without ``y``; train = the rest.  Like the view itself, the flagged rows are written
+    once per application as parquet in the shared checkpoint folder and read back."""
+    import hashlib
+
     from tabrix.operators.sampling import holdout
-    parts = holdout(camp(spark, sf), frac=frac, seed=seed)
+    from tabrix.session import checkpoint_dir
+    key = (spark.sparkContext.applicationId, sf, frac, seed)
+    if key not in _splits:
+        tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
+        path = f"{checkpoint_dir(spark).rstrip('/')}/split-{tag}"
+        holdout(camp(spark, sf), frac=frac, seed=seed).write.mode("overwrite").parquet(path)
+        _splits[key] = path
+    parts = spark.read.parquet(_splits[key])
     train = parts.where(~F.col("is_holdout")).drop("is_holdout")
     test = parts.where(F.col("is_holdout")).drop("is_holdout", "y")
     return train, test
