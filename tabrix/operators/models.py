@@ -46,14 +46,33 @@ class TreeConfig:
         return TreeConfig(**d)
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
+def assemble(df: DataFrame, features: Sequence[str], out: str = "features",
+             categorical: dict[str, int] | None = None) -> DataFrame:
     """Vector column from numeric features; missing values become ``MISSING`` (trees
-    split on it).  Use median imputation first where a neutral value is wanted."""
+    split on it).  Use median imputation first where a neutral value is wanted.
+
+    ``categorical``: feature -> number of levels (codes 0..n-1).  Those features are
+    declared nominal in the vector's ML attribute metadata, so MLlib trees split them
+    as unordered categories (the boosted-tree notebooks' native categories)."""
     filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING))
                               .alias(f"_tbx_f{i}") for i, c in enumerate(features)])
     va = VectorAssembler(inputCols=[f"_tbx_f{i}" for i in range(len(features))],
                          outputCol=out, handleInvalid="keep")
-    return va.transform(filled).drop(*[f"_tbx_f{i}" for i in range(len(features))])
+    v = va.transform(filled).drop(*[f"_tbx_f{i}" for i in range(len(features))])
+    if categorical:
+        nominal = [{"idx": i, "name": c, "num_vals": int(categorical[c])}
+                   for i, c in enumerate(features) if c in categorical]
+        numeric = [{"idx": i, "name": c} for i, c in enumerate(features) if c not in categorical]
+        meta = {"ml_attr": {"attrs": {"nominal": nominal, "numeric": numeric},
+                            "num_attrs": len(features)}}
+        v = v.withColumn(out, F.col(out).alias(out, metadata=meta))
+    return v
+
+
+def categorical_arity(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
+    """Number of levels of code columns (max code + 1), one aggregate row."""
+    r = df.agg(*[F.max(c).alias(c) for c in cols]).first()
+    return {c: int(r[c]) + 1 for c in cols if r[c] is not None and r[c] >= 0}
 
 
 @dataclass
@@ -66,10 +85,11 @@ class Fitted:
 
 def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
             label: str = "y", weight: str | None = None, val_col: str | None = None,
-            internal_val: float | None = None) -> Fitted:
+            internal_val: float | None = None,
+            categorical: dict[str, int] | None = None) -> Fitted:
     """Gradient-boosted trees.  ``val_col``: given early-stopping flag (G2);
     ``internal_val``: carve that share of the training rows as the early-stopping part
-    (G1); neither: fixed rounds (G3)."""
+    (G1); neither: fixed rounds (G3).  ``categorical``: code columns split as categories."""
     d = df
     if internal_val:
         d = holdout(d, internal_val, seed=cfg.seed, name="_tbx_val")
@@ -78,7 +98,8 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
               stepSize=cfg.step_size, maxDepth=cfg.max_depth,
               minInstancesPerNode=cfg.min_instances, subsamplingRate=cfg.subsampling_rate,
               featureSubsetStrategy=cfg.feature_subset, minInfoGain=cfg.min_info_gain,
-              maxBins=cfg.max_bins, seed=cfg.seed, checkpointInterval=10)
+              maxBins=max([cfg.max_bins, *(categorical or {}).values()]), seed=cfg.seed,
+              checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
     if val_col:
@@ -87,25 +108,28 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
     checkpoint_dir(df.sparkSession)  # MLlib checkpointInterval needs the shared folder
     est = GBTClassifier(**kw)
     cols = [label] + ([weight] if weight else []) + ([val_col] if val_col else [])
-    data = assemble(d.select(*cols, *features), features)
-    return Fitted(est.fit(data), list(features), "gbt")
+    data = assemble(d.select(*cols, *features), features, categorical=categorical)
+    return Fitted(est.fit(data), list(features), "gbt", {"categorical": categorical or {}})
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
-               label: str = "y", weight: str | None = None) -> Fitted:
+               label: str = "y", weight: str | None = None,
+               categorical: dict[str, int] | None = None) -> Fitted:
     """Randomised tree ensemble without bootstrap (thresholds are best splits, not
     random: no extra-trees learner in MLlib)."""
     kw = dict(labelCol=label, featuresCol="features", numTrees=cfg.num_trees,
               maxDepth=min(cfg.max_depth, 30), minInstancesPerNode=cfg.min_instances,
               featureSubsetStrategy="sqrt" if cfg.feature_subset == "all" else cfg.feature_subset,
-              bootstrap=cfg.bootstrap, maxBins=cfg.max_bins, seed=cfg.seed,
+              bootstrap=cfg.bootstrap, maxBins=max([cfg.max_bins, *(categorical or {}).values()]),
+              seed=cfg.seed,
               subsamplingRate=cfg.subsampling_rate, checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
     cols = [label] + ([weight] if weight else [])
-    data = assemble(df.select(*cols, *features), features)
+    data = assemble(df.select(*cols, *features), features, categorical=categorical)
     checkpoint_dir(df.sparkSession)
-    return Fitted(RandomForestClassifier(**kw).fit(data), list(features), "forest")
+    return Fitted(RandomForestClassifier(**kw).fit(data), list(features), "forest",
+                  {"categorical": categorical or {}})
 
 
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),

@@ -34,11 +34,18 @@ def f3_frames(spark, sf):
     return trf, tef, feats
 
 
+def cats(trf):
+    """Ordinal-coded columns declared as native categories (arity from the codes)."""
+    from tabrix.sources.fixture import CATEGORICAL
+    return G.categorical_arity(trf, CATEGORICAL)
+
+
 @query("g1_gbt_internal_validation")
 def g1(spark, sf):
-    """G1: boosted trees stopped early on an internal 10% validation part; test scored."""
+    """G1: boosted trees (ordinal codes as native categories) stopped early on an
+    internal 10% validation part; test scored."""
     trf, tef, feats = f3_frames(spark, sf)
-    return G.score(G.fit_gbt(trf, feats, QCFG, internal_val=0.1), tef)
+    return G.score(G.fit_gbt(trf, feats, QCFG, internal_val=0.1, categorical=cats(trf)), tef)
 
 
 @query("g2_gbt_eval_set")
@@ -53,7 +60,7 @@ def g2(spark, sf):
 @query("g3_gbt_fixed_rounds")
 def g3(spark, sf):
     trf, tef, feats = f3_frames(spark, sf)
-    return G.score(G.fit_gbt(trf, feats, QCFG), tef)
+    return G.score(G.fit_gbt(trf, feats, QCFG, categorical=cats(trf)), tef)
 
 
 @query("g4_forest_imputed")
@@ -95,9 +102,11 @@ def g7(spark, sf):
 
 @query("g8_oof_gbt")
 def g8(spark, sf):
-    """5-fold out-of-fold scores (every train id exactly once)."""
+    """5-fold out-of-fold scores (every train id exactly once); native categories."""
     trf, _, feats = f3_frames(spark, sf)
-    sc, _ = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG), k=5, seed=42, model="gbt")
+    ar = cats(trf)
+    sc, _ = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG, categorical=ar), k=5, seed=42,
+                  model="gbt")
     return sc
 
 
@@ -174,14 +183,16 @@ def g12_refit(spark, sf):
     """G12 end to end with real models: OOF ensemble of boosted trees and a forest on F3
     features, 0.7/0.3 blend of test scores, extremes labelled, appended, refit, 0.6/0.4."""
     trf, tef, feats = f3_frames(spark, sf)
-    _, t_gbt = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG), k=3, seed=42, test=tef)
+    ar = cats(trf)
+    _, t_gbt = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG, categorical=ar), k=3, seed=42,
+                     test=tef)
     _, t_rf = G.oof(trf, lambda d: G.fit_forest(d, feats, QCFG.with_params(num_trees=10)),
                     k=3, seed=99, test=tef)
     ens = EN.blend({"g": EN.mean_scores(t_gbt), "f": EN.mean_scores(t_rf)}, {"g": 0.7, "f": 0.3})
     ens = materialize(ens)
     labels = EN.pseudo_labels(ens, 0.05)
     aug = EN.augment(trf, tef.select(*[c for c in trf.columns if c != "y"]), labels)
-    final = G.score(G.fit_gbt(aug, feats, QCFG), tef)
+    final = G.score(G.fit_gbt(aug, feats, QCFG, categorical=ar), tef)
     return EN.blend({"final": final, "ens": ens}, {"final": 0.6, "ens": 0.4})
 
 

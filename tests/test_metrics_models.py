@@ -70,3 +70,17 @@ def test_model_invariants(spark):
     assert d.agg(F.max(F.abs("d"))).first()[0] < 1e-9
     imp = X.split_importance(fit, None).toPandas()
     assert imp["splits"].sum() > 0 and set(imp["feature"]) == set(feats)
+
+
+def test_native_categories(spark):
+    from tabrix.plans.q_models import cats
+    trf, tef, feats = _fixture_frame(spark)
+    ar = cats(trf)
+    assert ar["month"] == 12 and ar["marital"] == 3
+    fit = G.fit_gbt(trf, feats, G.TreeConfig(max_iter=6, max_depth=4), categorical=ar)
+    nodes = X.node_table(fit)
+    assert nodes.where("numCategories >= 0 AND leftChild >= 0").count() > 0
+    c = X.contributions(fit, tef)
+    d = c.select((F.col("bias") + F.aggregate("contrib", F.lit(0.0), lambda a, b: a + b)
+                  - F.col("margin")).alias("d"))
+    assert d.agg(F.max(F.abs("d"))).first()[0] < 1e-9
