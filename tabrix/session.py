@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,9 +56,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage of a (small, fitted) table by a reliable checkpoint to the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as a parquet table in the shared checkpoint folder and
+    read it back.  One job (an eager ``checkpoint()`` computes the plan twice), columnar
+    reads with pruning afterwards, and the files survive the loss of any executor."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/mat-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
