@@ -12,13 +12,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabrix.session import DEFAULT_BROADCAST_ROWS
+from tabrix.session import broadcast_max_rows
 
 
-def sized_broadcast(table: DataFrame, rows: int | None,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a known row count."""
-    if rows is not None and rows <= max_rows:
+def sized_broadcast(table: DataFrame, rows: int | None, max_rows: int | None = None
+                    ) -> DataFrame:
+    """Broadcast hint only behind a known row count (bound: ``max_rows`` or the session's
+    ``spark.tabrix.broadcastMaxRows``); otherwise the join is left to Catalyst / AQE."""
+    bound = max_rows if max_rows is not None else broadcast_max_rows(table.sparkSession)
+    if rows is not None and rows <= bound:
         return F.broadcast(table)
     return table
 

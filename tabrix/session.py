@@ -8,9 +8,21 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Largest lookup (rows) we hand to a broadcast join without further thought.  Lookups are
-# one row per category level / bucket, so this is a bound on the fitted table, not on data.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# Largest lookup (rows) handed to a broadcast join.  Lookups are one row per category level
+# or bucket (a few doubles and a short string, well under 100 bytes a row), so this bounds
+# the broadcast to tens of MB whatever the data size.  Override per session with
+# spark.tabrix.broadcastMaxRows.
+DEFAULT_BROADCAST_ROWS = 500_000
+
+
+def broadcast_max_rows(spark: SparkSession | None = None) -> int:
+    if spark is None:
+        spark = SparkSession.getActiveSession()
+    if spark is not None:
+        v = spark.conf.get("spark.tabrix.broadcastMaxRows", None)
+        if v:
+            return int(v)
+    return DEFAULT_BROADCAST_ROWS
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,

@@ -99,3 +99,18 @@ def test_align_columns(spark):
     b = spark.createDataFrame([(2, 1, 5)], "id long, c_x int, c_z int")
     out = R.align_columns(b, a)
     assert out.columns == ["id", "c_x", "c_y"] and out.first()["c_y"] == 0
+
+
+def test_broadcast_bound_is_respected(spark):
+    from tabrix.operators.joins import sized_broadcast
+    df = spark.range(10)
+    spark.conf.set("spark.tabrix.broadcastMaxRows", "5")
+    try:
+        big = sized_broadcast(df, 10)
+        small = sized_broadcast(df, 3)
+    finally:
+        spark.conf.unset("spark.tabrix.broadcastMaxRows")
+    j1 = spark.range(100).join(big, "id")
+    j2 = spark.range(100).join(small, "id")
+    assert "broadcast" not in j1._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in j2._jdf.queryExecution().logical().toString().lower()
