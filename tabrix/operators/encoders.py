@@ -77,7 +77,7 @@ class FittedLookup:
         return res.select(*sel)
 
 
-def _fit_table(table: DataFrame, values: list[str], null_as, defaults_from=None,
+def _fit_table(table: DataFrame, values: list[str], null_as,
                default_aggs=None) -> FittedLookup:
     t = materialize(table)
     rows = t.count()
@@ -301,7 +301,7 @@ class MedianImputer:
 # ---------------------------------------------------------------- E2+E3+E4 in one pass
 class EncoderSet:
     """Target (E4), frequency (E3) and label (E2) encodings of many columns fitted in
-    ONE scan of the training rows: (feature, level) -> n, sum(y), n_all; one checkpointed
+    ONE scan of the training rows: (feature, level) -> n, mean(y), n_all; one materialised
     table; one broadcast join per column at transform time carrying all three values.
 
     Level text: the string form, NULL -> 'nan' for the label codes (the text form of a
@@ -323,9 +323,11 @@ class EncoderSet:
                             F.col(self.target).cast("double").alias("t"))
                    for c in self.cols]
         lv = df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
+        # n counts the level's rows, my averages its non-null labels (mean * n as pandas'
+        # groupby mean times size: rows with a missing label still count in n)
         st = lv.groupBy("feature", "level").agg(
             F.count(F.when(~F.col("isnull"), 1)).alias("n"),
-            F.sum(F.when(~F.col("isnull"), F.col("t"))).alias("sy"),
+            F.avg(F.when(~F.col("isnull"), F.col("t"))).alias("my"),
             F.count(F.lit(1)).alias("n_all"))
         if self.freq_levels:
             fixed = df.sparkSession.createDataFrame(
@@ -333,13 +335,14 @@ class EncoderSet:
                 "feature string, level string")
             st = (fixed.join(st, ["feature", "level"], "full")
                   .select("feature", "level", F.coalesce("n", F.lit(0)).alias("n"),
-                          "sy", F.coalesce("n_all", F.lit(0)).alias("n_all")))
+                          "my", F.coalesce("n_all", F.lit(0)).alias("n_all")))
         g = df.agg(F.avg(F.col(self.target).cast("double"))).scalar()
         tot = st.groupBy("feature").agg(F.sum("n").alias("_tot"))
         m = F.lit(self.m)
         st = st.join(F.broadcast(tot), "feature").select(
             "feature", "level", "n", "n_all",
-            F.when(F.col("n") > 0, (F.col("sy") + g * m) / (F.col("n") + m)).alias("enc"),
+            F.when(F.col("n") > 0, (F.col("my") * F.col("n") + g * m) / (F.col("n") + m))
+             .alias("enc"),
             F.when((F.col("n") > 0) | (F.col("n_all") == 0), F.col("n") / F.col("_tot"))
              .alias("freq"))
         seen = st.where(F.col("n_all") > 0)
