@@ -1,5 +1,5 @@
 """E1-E6 (+E4b): fitted encoders.  ``fit`` turns data into small lookup tables (one row per
-(column, level)), computed for all columns in one scan and checkpointed to the shared
+(column, level)), computed for all columns in one scan and written as parquet to the shared
 folder; ``transform`` is one broadcast join per column behind the fitted row count.
 
 ``scope`` of the reference notebooks is expressed by what the caller passes to ``fit``:

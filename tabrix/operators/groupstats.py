@@ -71,7 +71,9 @@ def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ])).alias("s")).select("s.*").where(F.col("v").isNotNull())
     cnt = long.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c"))
     cum = ordered_prefix(cnt, ["v"], {"cum": F.col("c")}, by=["feature"])
-    tot = cnt.groupBy("feature").agg(F.sum("c").alias("n"))
+    # totals from the running counts (read back from the materialised buckets): the data
+    # itself is scanned once
+    tot = cum.groupBy("feature").agg(F.max("cum").alias("n"))
     lo_k = F.floor((F.col("n") + 1) / 2)  # lower middle rank
     hi_k = F.floor(F.col("n") / 2) + 1    # upper middle rank
     j = cum.join(F.broadcast(tot), "feature")  # one row per column
@@ -99,7 +101,7 @@ def add_group_means(df: DataFrame, keys: Sequence[str], targets: Sequence[str],
     """For each (key, target) add the group mean (and ``x/(mean+1e-5)``) to rows.
 
     Statistics come from ``fit_on`` (default: ``df`` itself) in one scan.  The statistics
-    table (one row per key level) is checkpointed and counted; each key's slice is
+    table (one row per key level) is materialised and counted; each key's slice is
     broadcast behind that count, otherwise joined by shuffle (AQE handles a hot level)."""
     stats = materialize(grouped_means(fit_on if fit_on is not None else df, keys, targets))
     n_stats = stats.count()

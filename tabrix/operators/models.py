@@ -164,7 +164,7 @@ def oof(df: DataFrame, fit: FitFn, k: int = 5, seed: int = 42, y: str = "y",
         parallelism: int | None = None):
     """Out-of-fold scores -- each row scored by the model that did not see it -- and,
     if ``test`` is given, every fold model's test scores.  Returns (oof, test_scores) with
-    columns (id, [y,] fold, seed, model, p).  The fold-tagged frame is checkpointed once
+    columns (id, [y,] fold, seed, model, p).  The fold-tagged frame is materialised once
     so that every fold fit reads the same materialised split (a frame that already has a
     ``fold`` column is used as it is).  The k fits are independent Spark jobs and are
     submitted from ``parallelism`` driver threads (default k), as MLlib's own

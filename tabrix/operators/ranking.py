@@ -5,7 +5,7 @@ no partition at all the whole table.  Here the order is cut into contiguous *buc
 
 * a range partition of the (unique) sort key, sampled by Spark, which stays balanced even
   when one class or one score value holds a third of all rows (the tagged rows are
-  checkpointed once, see below); or
+  written once to the shared folder, see below); or
 * a caller-given bucket column that is a monotone prefix of the sort key (for example the
   first hex digits of an md5 ordering key), which needs no extra shuffle at all.
 
@@ -50,7 +50,7 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
         n = num_buckets or shuffle_partitions(df.sparkSession)
         # The range bounds come from a sample seeded by the exchange's RDD id, so two
         # evaluations of the same plan may cut differently.  Tag each row with its slice
-        # once and checkpoint it (shared folder): totals and local sums then agree.
+        # once and materialise it (parquet, shared folder): totals and local sums agree.
         keyed = materialize(df.repartitionByRange(n, *[F.col(b) for b in by], *order_cols)
                               .withColumn(_BUCKET, F.spark_partition_id()))
     else:
