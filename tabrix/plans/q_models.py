@@ -274,3 +274,11 @@ def wf_hybrid_ensemble(spark, sf):
     out = io.scratch_path(spark, "wf_hybrid_ensemble")
     WF.hybrid_ensemble(tr, te, out, _wf_budget())
     return spark.read.schema("id long, y double").option("header", True).csv(out)
+
+
+@query("g13_param_search_error")
+def g13_error(spark, sf):
+    """G13 with the hard-label error objective (mean squared error of 0/1 predictions on a
+    plain 20% holdout, minimised); trials table with the best (lowest) marked."""
+    trf, _, feats = f3_frames(spark, sf)
+    return SR.search(trf, feats, SPACE, n_trials=3, seed=11, objective="error", base=QCFG)
