@@ -387,3 +387,35 @@ class FittedEncoderSet:
         if not replace_with_code:
             sel += [new[c][2].alias(c + "_code") for c in cols]
         return res.select(*sel)
+
+
+# ---------------------------------------------------------------- E5 sparse (for models)
+def one_hot_vectors(fitted: "FittedOrdinal", df: DataFrame, cols: Sequence[str] | None = None,
+                    suffix: str = "_vec") -> DataFrame:
+    """E5, sparse path for models: one sparse vector per column of size n_levels - 1 over
+    the fitted sorted levels, first level dropped (all zeros), unseen and NULL all zeros.
+
+    Built on MLlib's OneHotEncoder over the fitted codes shifted by one: the first level
+    and every unknown become an invalid index, which ``handleInvalid='keep'`` maps to the
+    extra last slot that ``dropLast`` removes.  Category sizes come from the fitted level
+    table (no pass over the data)."""
+    from pyspark.ml.feature import OneHotEncoderModel  # noqa: F401
+    from pyspark.ml.feature import OneHotEncoder as MLOneHot
+    cols = list(cols or fitted.spec.cols)
+    sizes = {r["feature"]: int(r["n"]) for r in fitted.lookup.table.groupBy("feature")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    coded = fitted.transform(df, cols, replace=False, suffix="_tbx_code")
+    shifted = coded.select("*", *[
+        F.when(F.col(f"{c}_tbx_code") >= 1, F.col(f"{c}_tbx_code") - 1)
+         .otherwise(F.lit(-1)).cast("double").alias(f"{c}_tbx_idx") for c in cols])
+    # fit the encoder on a tiny frame holding each column's largest index (its size)
+    spark = df.sparkSession
+    probe = spark.createDataFrame(
+        [tuple(float(max(sizes.get(c, 1) - 2, 0)) for c in cols)],
+        ", ".join(f"`{c}_tbx_idx` double" for c in cols))
+    enc = MLOneHot(inputCols=[f"{c}_tbx_idx" for c in cols],
+                   outputCols=[f"{c}{suffix}" for c in cols], dropLast=True,
+                   handleInvalid="keep").fit(probe)
+    out = enc.transform(shifted)
+    drop = [f"{c}_tbx_code" for c in cols] + [f"{c}_tbx_idx" for c in cols]
+    return out.drop(*drop)

@@ -48,13 +48,19 @@ class TreeConfig:
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features",
              categorical: dict[str, int] | None = None) -> DataFrame:
-    """Vector column from numeric features; missing values become ``MISSING`` (trees
-    split on it).  Use median imputation first where a neutral value is wanted.
+    """Vector column from numeric features (vector columns, e.g. sparse one-hot blocks, are
+    appended as they are); missing values become ``MISSING`` (trees split on it).  Use
+    median imputation first where a neutral value is wanted.
 
     ``categorical``: feature -> number of levels (codes 0..n-1).  Those features are
     declared nominal in the vector's ML attribute metadata, so MLlib trees split them
     as unordered categories (the boosted-tree notebooks' native categories)."""
-    filled = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING))
+    from pyspark.ml.linalg import VectorUDT
+    is_vec = {c for c in features if isinstance(df.schema[c].dataType, VectorUDT)}
+    if is_vec and categorical:
+        raise ValueError("categorical metadata needs scalar feature columns only")
+    filled = df.select("*", *[(F.col(c) if c in is_vec else
+                               F.coalesce(F.col(c).cast("double"), F.lit(MISSING)))
                               .alias(f"_tbx_f{i}") for i, c in enumerate(features)])
     va = VectorAssembler(inputCols=[f"_tbx_f{i}" for i in range(len(features))],
                          outputCol=out, handleInvalid="keep")

@@ -114,3 +114,14 @@ def test_broadcast_bound_is_respected(spark):
     j2 = spark.range(100).join(small, "id")
     assert "broadcast" not in j1._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" in j2._jdf.queryExecution().logical().toString().lower()
+
+
+def test_one_hot_vectors_match_wide(spark):
+    tr = spark.createDataFrame([(1, "b"), (2, "a"), (3, "c"), (4, "b")], "id long, k string")
+    te = spark.createDataFrame([(5, "a"), (6, "c"), (7, "zz"), (8, None)], "id long, k string")
+    ordf = enc.OrdinalEncoder(["k"], null_as=None).fit(tr)
+    v = {r["id"]: r["k_vec"].toArray().tolist() for r in enc.one_hot_vectors(ordf, te).collect()}
+    wide = enc.one_hot_transform(te, enc.OneHotEncoder(["k"]).fit(tr))
+    w = {r["id"]: [r["k_b"], r["k_c"]] for r in wide.collect()}
+    assert v == {k: [float(x) for x in w[k]] for k in w}
+    assert v[5] == [0.0, 0.0] and v[6] == [0.0, 1.0] and v[7] == [0.0, 0.0] and v[8] == [0.0, 0.0]
