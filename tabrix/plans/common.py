@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ def camp(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _splits: dict[tuple, str] = {}
+_split_lock = threading.Lock()
 
 
 def train_test(spark: SparkSession, sf: str, frac: float = 0.2, seed: int = 42):
@@ -31,11 +34,13 @@ def train_test(spark: SparkSession, sf: str, frac: float = 0.2, seed: int = 42):
     from tabrix.operators.sampling import holdout
     from tabrix.session import checkpoint_dir
     key = (spark.sparkContext.applicationId, sf, frac, seed)
-    if key not in _splits:
-        tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/split-{tag}"
-        holdout(camp(spark, sf), frac=frac, seed=seed).write.mode("overwrite").parquet(path)
-        _splits[key] = path
+    d = camp(spark, sf)
+    with _split_lock:
+        if key not in _splits:
+            tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
+            path = f"{checkpoint_dir(spark).rstrip('/')}/split-{tag}"
+            holdout(d, frac=frac, seed=seed).write.mode("overwrite").parquet(path)
+            _splits[key] = path
     parts = spark.read.parquet(_splits[key])
     train = parts.where(~F.col("is_holdout")).drop("is_holdout")
     test = parts.where(F.col("is_holdout")).drop("is_holdout", "y")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 # the broadcast to tens of MB whatever the data size.  Override per session with
 # spark.tabrix.broadcastMaxRows.
 DEFAULT_BROADCAST_ROWS = 500_000
+_ckpt_lock = threading.Lock()
 
 
 def broadcast_max_rows(spark: SparkSession | None = None) -> int:
@@ -57,13 +59,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     A cluster names it (shared storage, survives executor loss).  Only when it is unset --
     local tests -- do we create one under the local temp folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tabrix-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+    with _ckpt_lock:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            d = tempfile.mkdtemp(prefix="tabrix-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", d)
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
     return d
 
 

@@ -10,6 +10,7 @@ back, so later queries get column pruning and filter pushdown on it.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ CATEGORICAL = ["job", "marital", "education", "default", "housing", "loan", "con
                "month", "poutcome"]
 
 _written: dict[tuple[str, str], str] = {}
+_lock = threading.Lock()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,11 +95,12 @@ def campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint folder (cuts lineage, survives executor loss, keeps pushdown)."""
     app = spark.sparkContext.applicationId
     key = (app, sf_dir)
-    if key not in _written:
-        tag = hashlib.md5(f"{app}:{sf_dir}".encode()).hexdigest()[:12]
-        path = f"{checkpoint_dir(spark).rstrip('/')}/campaign-{tag}"
-        derive_campaign(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _written[key] = path
+    with _lock:  # one writer per application, even with concurrent callers
+        if key not in _written:
+            tag = hashlib.md5(f"{app}:{sf_dir}".encode()).hexdigest()[:12]
+            path = f"{checkpoint_dir(spark).rstrip('/')}/campaign-{tag}"
+            derive_campaign(spark, sf_dir).write.mode("overwrite").parquet(path)
+            _written[key] = path
     return spark.read.parquet(_written[key])
 
 
