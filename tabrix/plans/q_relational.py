@@ -377,15 +377,19 @@ def u2(spark, sf):
     return R.stack(d.where("y = 1"), d.where("y = 0"))
 
 
-@query("u3_append_pseudo_labels", WS + """
-SELECT id, y FROM train UNION ALL
-SELECT id, CAST(CASE WHEN duration >= 1000 THEN 1 ELSE 0 END AS INTEGER) AS y FROM test
-WHERE duration >= 1000 OR duration <= 50""")
+@query("u3_append_pseudo_labels", with_campaign(SPLIT_SQL, f"""
+ts AS (SELECT id, {FIXED_SCORE_SQL} AS p FROM test)""", """
+r AS (SELECT id, row_number() OVER (ORDER BY p, id) AS rk, count(*) OVER () AS n FROM ts)""", """
+lab AS (SELECT id, CAST(CASE WHEN rk > n - floor(0.05 * n) THEN 1 ELSE 0 END AS INTEGER) AS y
+        FROM r WHERE rk <= floor(0.05 * n) OR rk > n - floor(0.05 * n))""") + """
+SELECT id, age, duration, y FROM train
+UNION ALL SELECT t.id, t.age, t.duration, lab.y FROM test t JOIN lab ON t.id = lab.id""")
 def u3(spark, sf):
-    """Append confidently-labelled test rows (here by a fixed duration rule) to train."""
+    """Test rows at the extremes of a score (top / bottom 5% -> 1 / 0) appended, with
+    their features and pseudo labels, to the training rows."""
+    from tabrix.operators import ensemble as EN
     tr, te = train_test(spark, sf)
-    pseudo = te.where((F.col("duration") >= 1000) | (F.col("duration") <= 50)).select(
-        "id", F.when(F.col("duration") >= 1000, 1).otherwise(0).cast("int").alias("y"))
-    return R.stack(tr.select("id", "y"), pseudo)
-
-
+    scores = te.select("id", fixed_score(te).alias("p"))
+    labels = EN.pseudo_labels(scores, 0.05)
+    return EN.augment(tr.select("id", "age", "duration", "y"),
+                      te.select("id", "age", "duration"), labels)
