@@ -399,7 +399,6 @@ def one_hot_vectors(fitted: "FittedOrdinal", df: DataFrame, cols: Sequence[str]
     and every unknown become an invalid index, which ``handleInvalid='keep'`` maps to the
     extra last slot that ``dropLast`` removes.  Category sizes come from the fitted level
     table (no pass over the data)."""
-    from pyspark.ml.feature import OneHotEncoderModel  # noqa: F401
     from pyspark.ml.feature import OneHotEncoder as MLOneHot
     cols = list(cols or fitted.spec.cols)
     sizes = {r["feature"]: int(r["n"]) for r in fitted.lookup.table.groupBy("feature")

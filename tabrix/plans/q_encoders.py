@@ -1,14 +1,16 @@
-"""Registered queries: fixture view, encoders."""
+"""Registered queries: the campaign view itself and the encoders."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabrix.functions import scalar as M
 from tabrix.operators import encoders as enc
+from tabrix.operators.sampling import kfold
 from tabrix.plans.common import SPLIT_SQL, camp, rnd, train_test
 from tabrix.plans.oracle_base import with_campaign
 from tabrix.plans.registry import query
-from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+from tabrix.sources.fixture import CAMPAIGN_COLUMNS, CATEGORICAL
 
 
 @query("fixture_campaign", with_campaign() + "SELECT * FROM campaign")
@@ -37,10 +39,6 @@ def e4_target_encode(spark, sf):
 
 
 # ------------------------------------------------------------------ E1-E6 on train/test
-from tabrix.functions import scalar as M  # noqa: E402
-from tabrix.operators.sampling import kfold  # noqa: E402
-from tabrix.sources.fixture import CATEGORICAL  # noqa: E402
-
 WS = with_campaign(SPLIT_SQL)
 
 
