@@ -7,6 +7,8 @@ queries use few rounds so that the whole-table check stays quick; nothing is sub
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import functions as F
 
 from tabrix.operators import ensemble as EN
@@ -25,11 +27,19 @@ from tabrix.session import materialize
 QCFG = G.TreeConfig(max_iter=10, max_depth=4, step_size=0.1, seed=42)
 
 
+_f3: dict[tuple, object] = {}
+_f3_lock = threading.Lock()
+
+
 def f3_frames(spark, sf):
-    """F3 features on the tagged union, split back; materialised once per call."""
+    """F3 features on the tagged union, split back.  The feature table is written once per
+    application (shared folder) and reused by every model query of that application."""
+    key = (spark.sparkContext.applicationId, sf)
     tr, te = train_test(spark, sf)
-    f3 = materialize(RC.recipe_f3(RC.tagged_union(tr, te)))
-    trf, tef = split_origin(f3)
+    with _f3_lock:
+        if key not in _f3:
+            _f3[key] = materialize(RC.recipe_f3(RC.tagged_union(tr, te)))
+    trf, tef = split_origin(_f3[key])
     feats = [c for c in trf.columns if c not in ("id", "y")]
     return trf, tef, feats
 
