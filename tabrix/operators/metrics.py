@@ -147,3 +147,11 @@ def prediction_summary(df: DataFrame, pred: str = "y_pred") -> DataFrame:
     return df.groupBy(pred).agg(F.count(F.lit(1)).alias("n")).select(
         pred, "n", (F.col("n") / total).alias("share"))
 
+
+
+def search_threshold(scores: DataFrame, lo: float = 0.3, hi: float = 0.8, step: float = 0.01,
+                     y: str = "y", p: str = "p", default: float = 0.5):
+    """V3 in one call: (threshold, f1, table) for thresholds ``arange(lo, hi, step)``."""
+    table = f1_by_threshold(scores, threshold_grid(lo, hi, step), y, p)
+    t, f1 = best_threshold(table, default)
+    return t, f1, table

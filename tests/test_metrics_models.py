@@ -84,3 +84,21 @@ def test_native_categories(spark):
     d = c.select((F.col("bias") + F.aggregate("contrib", F.lit(0.0), lambda a, b: a + b)
                   - F.col("margin")).alias("d"))
     assert d.agg(F.max(F.abs("d"))).first()[0] < 1e-9
+
+
+def test_score_algebra_conveniences(spark):
+    a = spark.createDataFrame([(1, 0, 0.2), (1, 1, 0.4), (2, 0, 0.6), (2, 1, 0.8)],
+                              "id long, fold int, p double")
+    b = spark.createDataFrame([(1, 0, 0.0), (1, 1, 0.0), (2, 0, 1.0), (2, 1, 1.0)],
+                              "id long, fold int, p double")
+    got = {r["id"]: r["p"] for r in EN.seed_average([a, b]).collect()}
+    assert math.isclose(got[1], 0.15) and math.isclose(got[2], 0.85)
+    train = spark.createDataFrame([(10, 1.0, 1)], "id long, x double, y int")
+    rows = spark.range(1, 41).select("id", F.col("id").cast("double").alias("x"))
+    scores = rows.select("id", (F.col("x") / 40).alias("p"))
+    aug = EN.pseudo_label(train, rows, scores, 0.05).toPandas()
+    assert len(aug) == 5 and set(aug[aug["id"] != 10]["id"]) == {1, 2, 39, 40}
+    assert aug.set_index("id").loc[40, "y"] == 1 and aug.set_index("id").loc[1, "y"] == 0
+    df = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, 0.7), (0, 0.75)], "y int, p double")
+    t, f1, table = V.search_threshold(df)
+    assert table.count() == 50 and 0.3 <= t < 0.8 and f1 > 0
