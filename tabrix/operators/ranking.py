@@ -112,14 +112,26 @@ def seed_key(id_col: str, seed: int) -> Column:
 
 
 def seeded_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (),
-                name: str = "rank", digits: int = 4) -> DataFrame:
+                name: str = "rank", digits: int = 4, duplicates: str = "unique") -> DataFrame:
     """Rank rows in seeded pseudo-random order: order by md5(id:seed), id.
 
     The first ``digits`` hex digits of the key are a monotone prefix of the order and are
     uniform whatever the data, so they bucket every class into 16**digits even slices.
+
+    ``duplicates='split'`` is for inputs whose ids repeat (a group of copies may hold a
+    third of the rows): rows get a unique tag written once with the data (so it is stable
+    on recomputation), the order becomes (md5 key, id, tag) and range buckets split a hot
+    copy group across tasks.  Ranks among copies of one id then follow the tag.
     """
     key = seed_key(id_col, seed)
-    bucket = F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
     keyed = df.withColumn("_tbx_key", key)
+    if duplicates == "split":
+        from tabrix.session import materialize
+        tagged = materialize(keyed.withColumn("_tbx_tag", F.monotonically_increasing_id()))
+        r = exact_rank(tagged, ["_tbx_key", id_col, "_tbx_tag"], by=by, name=name)
+        return r.drop("_tbx_key", "_tbx_tag")
+    if duplicates != "unique":
+        raise ValueError(duplicates)
+    bucket = F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
     r = exact_rank(keyed, ["_tbx_key", id_col], by=by, name=name, bucket=bucket)
     return r.drop("_tbx_key")

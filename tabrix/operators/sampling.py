@@ -1,7 +1,8 @@
 """X1-X5 sampling and splitting, K1-K3 ordering operators, S3 holdout carving.
 
 Seeded operators order rows by md5(id:seed), id -- the same digest in every engine -- and
-rank them exactly with the bucketed prefix sum (no class-sized windows).  scikit-learn's
+rank them exactly with the bucketed prefix sum (no class-sized windows).  Ids are expected
+to be unique; ``duplicates='split'`` handles inputs where copies of one id are common.  scikit-learn's
 row choice is not reproduced (its RNG is not portable); counts and balance are.
 """
 
@@ -24,22 +25,25 @@ def class_counts(df: DataFrame, y: str) -> dict:
     return {r[0]: r[1] for r in rows}
 
 
-def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
+def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id",
+             duplicates: str = "unique") -> DataFrame:
     """Exactly ``n`` rows (all if fewer), chosen by the seeded order."""
-    r = seeded_rank(df, id_col, seed, name="_tbx_rk")
+    r = seeded_rank(df, id_col, seed, name="_tbx_rk", duplicates=duplicates)
     return r.where(F.col("_tbx_rk") <= n).drop("_tbx_rk")
 
 
-def balance(df: DataFrame, y: str = "y", seed: int = 42, id_col: str = "id") -> DataFrame:
+def balance(df: DataFrame, y: str = "y", seed: int = 42, id_col: str = "id",
+            duplicates: str = "unique") -> DataFrame:
     """Undersample every class to the smallest class count (exact counts)."""
     cc = class_counts(df, y)
     m = min(cc.values()) if cc else 0
-    r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk")
+    r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk", duplicates=duplicates)
     return r.where(F.col("_tbx_rk") <= m).drop("_tbx_rk")
 
 
 def holdout(df: DataFrame, frac: float = 0.2, seed: int = 42, id_col: str = "id",
-            y: str | None = None, name: str = "is_holdout") -> DataFrame:
+            y: str | None = None, name: str = "is_holdout",
+            duplicates: str = "unique") -> DataFrame:
     """Flag an exact holdout part.
 
     Plain: ``ceil(frac*n)`` rows.  Stratified on ``y``: the same total, spread over classes
@@ -47,14 +51,14 @@ def holdout(df: DataFrame, frac: float = 0.2, seed: int = 42, id_col: str = "id"
     the smaller class value) -- scikit-learn's allocation with a deterministic tie rule."""
     if y is None:
         n_hold = F.ceil(F.lit(frac) * df.agg(F.count(F.lit(1))).scalar())
-        r = seeded_rank(df, id_col, seed, name="_tbx_rk")
+        r = seeded_rank(df, id_col, seed, name="_tbx_rk", duplicates=duplicates)
         return r.select(*df.columns, (F.col("_tbx_rk") <= n_hold).alias(name))
     cc = class_counts(df, y)
     quota = stratified_quota(cc, frac)
     q = df.sparkSession.createDataFrame([(k, v) for k, v in quota.items()],
                                         f"_tbx_y {df.schema[y].dataType.simpleString()}, "
                                         "_tbx_q long")
-    r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk")
+    r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk", duplicates=duplicates)
     j = r.join(F.broadcast(q), r[y].eqNullSafe(q["_tbx_y"]), "left")
     return j.select(*[r[c] for c in df.columns],
                     (F.col("_tbx_rk") <= F.coalesce(F.col("_tbx_q"), F.lit(0))).alias(name))
@@ -73,11 +77,11 @@ def stratified_quota(cc: dict, frac: float) -> dict:
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, y: str | None = "y",
-          id_col: str = "id", name: str = "fold") -> DataFrame:
+          id_col: str = "id", name: str = "fold", duplicates: str = "unique") -> DataFrame:
     """(stratified) shuffled k-fold: ``fold = (rank_in_class - 1) % k``, so class counts
     differ by at most one across folds."""
     by = [y] if y else []
-    r = seeded_rank(df, id_col, seed, by=by, name="_tbx_rk")
+    r = seeded_rank(df, id_col, seed, by=by, name="_tbx_rk", duplicates=duplicates)
     return r.select(*df.columns, ((F.col("_tbx_rk") - 1) % k).cast("int").alias(name))
 
 

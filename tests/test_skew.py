@@ -76,3 +76,20 @@ def test_folds_balanced_with_hot_class(skewed):
     assert "windowspecdefinition(_tbx_bucket" in plan  # bucketed, never by the raw class
     c = kf.where(F.col("key") == "hot").groupBy("fold").count().toPandas()
     assert c["count"].max() - c["count"].min() <= 1 and c["count"].sum() == N // 3
+
+
+def test_seeded_rank_with_hot_copy_group(spark):
+    from tabrix.operators.ranking import seeded_rank
+    # a third of the rows are copies of id 7
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("id"),
+        (F.col("id") % 2).cast("int").alias("y"))
+    outs = []
+    for n in (4, 32):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        r = seeded_rank(df, "id", 1, by=["y"], duplicates="split").toPandas()
+        outs.append(r.groupby("y")["rank"].apply(lambda s: sorted(s.tolist())).to_dict())
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for ranks in outs[0].values():
+        assert ranks == list(range(1, len(ranks) + 1))  # a permutation within each class
+    assert outs[0] == outs[1]
