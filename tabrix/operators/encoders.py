@@ -112,11 +112,6 @@ class FittedOrdinal:
     def __init__(self, lk: FittedLookup, spec: OrdinalEncoder):
         self.lookup, self.spec = lk, spec
 
-    def levels(self, col: str) -> list[str]:
-        """Ordered levels of one column (bounded by the column's distinct count)."""
-        return [r[0] for r in self.lookup.table.where(F.col("feature") == col)
-                .orderBy("code").select("level").collect()]
-
     def transform(self, df: DataFrame, cols: Sequence[str] | None = None,
                   replace: bool = True, suffix: str = "_code") -> DataFrame:
         cols = list(cols or self.spec.cols)
