@@ -19,9 +19,11 @@ from tabrix.operators.ranking import exact_rank, seed_key, seeded_rank
 
 def class_counts(df: DataFrame, y: str) -> dict:
     """Per-class row counts (one small aggregate; classes are few by contract)."""
-    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).collect()
-    if len(rows) > 10_000:
-        raise ValueError(f"{y} has {len(rows)} classes; stratify on a low-cardinality label")
+    max_classes = 10_000
+    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
+    if len(rows) > max_classes:
+        raise ValueError(f"{y} has more than {max_classes} classes; "
+                         "stratify on a low-cardinality label")
     return {r[0]: r[1] for r in rows}
 
 
