@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,5 +70,9 @@ def head(df: DataFrame, n: int = 5, by: str = "id") -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (unique per call, so a lazily read
+    result can never be overwritten by a later call)."""
+    import uuid
+
     from tabrix.session import checkpoint_dir
-    return os.path.join(checkpoint_dir(spark), name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
