@@ -311,3 +311,34 @@ def e5_sparse(spark, sf):
     trv, tev = enc.one_hot_vectors(ordf, trx, cols), enc.one_hot_vectors(ordf, tex, cols)
     feats = num + [f"{c}_vec" for c in cols]
     return G.score(G.fit_gbt(trv, feats, QCFG), tev)
+
+
+@query("wf_ordinal_cv_report")
+def wf_ordinal_cv(spark, sf):
+    """Hybrid notebook cell 1: F1 features (ordinal codes fitted on the frame, native
+    categories), stratified 5-fold boosted trees stopped early on an internal 10% part;
+    per-fold AUC mean / population std and the pooled out-of-fold AUC (one row)."""
+    from tabrix.operators import metrics as V
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS, CATEGORICAL
+    tr, _ = train_test(spark, sf)
+    f1 = materialize(RC.recipe_f1(tr.select(*CAMPAIGN_COLUMNS)))
+    feats = [c for c in f1.columns if c not in ("id", "y")]
+    ar = G.categorical_arity(f1, CATEGORICAL)
+    oof, _ = G.oof(f1, lambda d: G.fit_gbt(d, feats, QCFG, internal_val=0.1, categorical=ar),
+                   k=5, seed=42, model="gbt")
+    return V.cv_report(oof)
+
+
+@query("wf_group_features_cv")
+def wf_group_features_cv(spark, sf):
+    """Hybrid notebook cell 2: F2 features on the tagged train+test union (group means and
+    ratios, fingerprint counts, union-fitted codes), 5-fold boosted trees, test scored by
+    every fold model and averaged: submission (id, y = mean probability)."""
+    tr, te = train_test(spark, sf)
+    f2 = materialize(RC.recipe_f2(RC.tagged_union(tr, te)))
+    trf, tef = split_origin(f2)
+    feats = [c for c in trf.columns if c not in ("id", "y")]
+    ar = cats(trf)
+    _, ts = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG, internal_val=0.1, categorical=ar),
+                  k=5, seed=42, test=tef, model="gbt")
+    return EN.mean_scores(ts).select("id", F.col("p").alias("y"))
