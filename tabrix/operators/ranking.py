@@ -21,7 +21,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrix.session import materialize, shuffle_partitions
+from tabrix.session import materialize, rows_per_task, shuffle_partitions
 
 _BUCKET = "_tbx_bucket"
 
@@ -38,7 +38,10 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     group, e.g. end with a unique id, so the result is deterministic).
 
     ``bucket``: optional Column, non-decreasing along ``order`` within each group.  When it
-    is None the rows are range-partitioned on (by, order) into ``num_buckets`` slices.
+    is None the rows are range-partitioned on (by, order) into ``num_buckets`` slices
+    (default: enough for ``spark.tabrix.rowsPerTask`` rows each, at least the shuffle
+    partitions).  The per-bucket totals are materialised; from them the local windows get
+    an exchange sized to the same row target when the data is large.
     ``lag``: columns whose value on the previous row of the group is added as
     ``prev_<col>`` (NULL on the first row); across a bucket boundary it comes from the last
     row of the nearest earlier bucket, carried in the same small offsets table.  Ascending
@@ -46,8 +49,13 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     """
     by = list(by)
     order_cols = [_col(c) for c in order]
+    spark = df.sparkSession
+    base = shuffle_partitions(spark)
+    target = rows_per_task(spark)
     if bucket is None:
-        n = num_buckets or shuffle_partitions(df.sparkSession)
+        # slices sized from the data: never fewer than the shuffle partitions, never more
+        # than ``target`` rows each on average (one counting pass over the input)
+        n = num_buckets or max(base, -(-df.count() // target))
         # The range bounds come from a sample seeded by the exchange's RDD id, so two
         # evaluations of the same plan may cut differently.  Tag each row with its slice
         # once and materialise it (parquet, shared folder): totals and local sums agree.
@@ -68,9 +76,14 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     okey = F.struct(*order_cols)
     # totals per (bucket, group) -> exclusive running sums across buckets = offsets;
     # the last row's lag columns of each (bucket, group), shifted by one bucket.
-    tot = keyed.groupBy(_BUCKET, *by).agg(
+    tot = materialize(keyed.groupBy(_BUCKET, *by).agg(
+        F.count(F.lit(1)).alias("_tbx_rows"),
         *[F.sum(tmp[n]).alias(tmp[n]) for n in names],
-        *[F.max_by(F.col(c), okey).alias(f"_tbx_last_{c}") for c in lag])
+        *[F.max_by(F.col(c), okey).alias(f"_tbx_last_{c}") for c in lag]))
+    # rows per (bucket, group) are known now: size the local windows' exchange so that no
+    # task holds more than ``target`` rows on average (AQE can coalesce, never split)
+    total_rows = tot.agg(F.sum("_tbx_rows")).first()[0] or 0
+    tasks = -(-total_rows // target)
     w_off = (Window.partitionBy(*by).orderBy(_BUCKET)
              .rowsBetween(Window.unboundedPreceding, -1))
     w_prev = Window.partitionBy(*by).orderBy(_BUCKET)
@@ -83,7 +96,8 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     w_loc = (Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     w_row = Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
-    loc = keyed.select("*", *[F.sum(tmp[n]).over(w_loc).alias(tmp[n] + "_loc") for n in names],
+    src = keyed.repartition(tasks, _BUCKET, *by) if tasks > base else keyed
+    loc = src.select("*", *[F.sum(tmp[n]).over(w_loc).alias(tmp[n] + "_loc") for n in names],
                        *([F.row_number().over(w_row).alias("_tbx_lrn")] if lag else []),
                        *[F.lag(c).over(w_row).alias(f"_tbx_llag_{c}") for c in lag])
 

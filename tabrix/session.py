@@ -84,5 +84,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+# Rows per task targeted by the exact-rank building block (narrow rows, ~100 MB a task).
+DEFAULT_ROWS_PER_TASK = 2_000_000
+
+
+def rows_per_task(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.tabrix.rowsPerTask", None)
+    return int(v) if v else DEFAULT_ROWS_PER_TASK
+
+
 def local_data_dir() -> str:
     return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

@@ -90,3 +90,20 @@ def test_lag_across_buckets(spark):
     assert (m["rn"] == m["rn2"]).all()
     assert (m["prev_v"].fillna(-1) == m["pv"].fillna(-1)).all()
     assert (m["prev_t"].fillna(-1) == m["pt"].fillna(-1)).all()
+
+
+def test_rank_sizes_tasks_from_rows(spark):
+    # with a tiny rows-per-task target the range path must use more slices than the shuffle
+    # partitions and the result must stay exact
+    df = spark.range(0, 5000).select("id", (F.rand(5) * 1000).cast("int").alias("p"))
+    spark.conf.set("spark.tabrix.rowsPerTask", "100")
+    try:
+        r = exact_rank(df, ["p", "id"], name="rank")
+        s = seeded_rank(df, "id", 3, name="rank2")
+        a, b = r.toPandas(), s.toPandas()
+    finally:
+        spark.conf.unset("spark.tabrix.rowsPerTask")
+    exp = df.toPandas().sort_values(["p", "id"]).reset_index(drop=True)
+    exp["e"] = range(1, len(exp) + 1)
+    m = a.merge(exp, on=["id", "p"])
+    assert (m["rank"] == m["e"]).all() and sorted(b["rank2"]) == list(range(1, 5001))
