@@ -55,13 +55,15 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     if bucket is None:
         # slices sized from the data: never fewer than the shuffle partitions, never more
         # than ``target`` rows each on average (one counting pass over the input)
-        n = num_buckets or max(base, -(-df.count() // target))
+        counted = df.count()
+        n = num_buckets or max(base, -(-counted // target))
         # The range bounds come from a sample seeded by the exchange's RDD id, so two
         # evaluations of the same plan may cut differently.  Tag each row with its slice
         # once and materialise it (parquet, shared folder): totals and local sums agree.
         keyed = materialize(df.repartitionByRange(n, *[F.col(b) for b in by], *order_cols)
                               .withColumn(_BUCKET, F.spark_partition_id()))
     else:
+        counted = None
         keyed = df.withColumn(_BUCKET, bucket)
     # with no groups the offsets table has one row per bucket: bounded by num_buckets or by
     # the caller's bucket domain, so it is safe to broadcast.  With groups, AQE sees its
@@ -82,7 +84,7 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
         *[F.max_by(F.col(c), okey).alias(f"_tbx_last_{c}") for c in lag]))
     # rows per (bucket, group) are known now: size the local windows' exchange so that no
     # task holds more than ``target`` rows on average (AQE can coalesce, never split)
-    total_rows = tot.agg(F.sum("_tbx_rows")).first()[0] or 0
+    total_rows = counted if counted is not None else (tot.agg(F.sum("_tbx_rows")).first()[0] or 0)
     tasks = -(-total_rows // target)
     w_off = (Window.partitionBy(*by).orderBy(_BUCKET)
              .rowsBetween(Window.unboundedPreceding, -1))
