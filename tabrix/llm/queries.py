@@ -39,3 +39,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabrix.llm.bpe import encode_documents
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
+_OP3_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p
+      WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id < p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
+@_query("op3_warc_round_trip", _OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    from tabrix.llm.warc import round_trip
+    return round_trip(_table(spark, sf_dir, "pages"))
