@@ -60,3 +60,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back."""
     from tabrix.llm.warc import round_trip
     return round_trip(_table(spark, sf_dir, "pages"))
+
+
+@_query("op8_simhash_components")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints (3-word shingles) linked at two or fewer bits."""
+    from tabrix.llm.simhash import simhash_components
+    return simhash_components(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+
+
+@_query("op7_quality_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every whole text; rows with crc32(doc_id) mod 3 = 1 are held out."""
+    from tabrix.llm.quality_fm import classify, in_training
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    scored = classify(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.coalesce(~in_training(), F.lit(False)).alias("held_out"),
+                         "score", "predicted")

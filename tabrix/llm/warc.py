@@ -184,7 +184,8 @@ def _parsed(pieces: Iterable[bytes]) -> Iterator[dict]:
                 if buf:
                     raise ValueError("the archive ends inside a record's head")
                 return
-            buf += part + gap
+            # a file's last piece may be half a separator, put back whole; heads start with W
+            buf = (buf + part + gap).lstrip(EOL)
         head, _, buf = buf.partition(gap)
         if not head.startswith(VERSION):
             raise ValueError("no record starts where one should")
@@ -201,7 +202,7 @@ def _parsed(pieces: Iterable[bytes]) -> Iterator[dict]:
         block, buf = buf[:need], buf[need:]
         if not buf.startswith(gap):
             raise ValueError("a record is longer than its Content-Length")
-        buf = buf[len(gap):]
+        buf = buf[len(gap):].lstrip(EOL)
 
         def text(name):
             return f[name].decode("utf-8") if name in f else None
