@@ -77,3 +77,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classify(docs, _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", F.coalesce(~in_training(), F.lit(False)).alias("held_out"),
                          "score", "predicted")
+
+
+@_query("op9_personal_data")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans (base patterns and those the field adds) of every whole text."""
+    from tabrix.llm.pii_semicrf import find_pii
+    return find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@_query("op4_benchmark_leaks")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(document, benchmark item) pairs where a passage leaks the item."""
+    from tabrix.llm.decontamination import leaks
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
