@@ -1,29 +1,29 @@
 """Benchmark decontamination: a BM25 inverted index of the test items, queried by every
 passage of the training documents with block-max WAND.
 
-Passages are overlapping windows of twice the longest item's words, one per longest item's
-words, so that any occurrence of an item lies within one passage.  Impacts are divided by the
-item's score against itself, so scores lie between 0 and 1 and one threshold serves items of
-any length.  All items at or above it are retrieved and verified: at least ``overlap`` of the
-five-word shingles of the item's question and of its answer must occur in the passage.  The
-question is the text before its last sentence and the answer that sentence; a text of one
-sentence is halved.
-
-The items are indexed in blocks of at most ``BLOCK_BYTES`` of text, each with its own corpus
-statistics; each block's index is bounded and goes to every task of one pass over the documents.
+Items are ordered by length and put into classes of similar length and blocks of a few items.
+A class's passages are overlapping windows of twice its longest item's words, one per longest
+item's words, so that any occurrence of an item lies within one passage.  Impacts are divided
+by the item's score against itself, so scores lie between 0 and 1 and one threshold serves
+items of any length.  Block maxima bound the scores of a block's items for all passages of a
+batch at once; a block that may reach the threshold is searched document at a time.  All items
+at or above the threshold are retrieved and verified: at least ``overlap`` of the five-word
+shingles of the item's question and of its answer must occur in the passage.  The question is
+the text before its last sentence and the answer that sentence; a text of one sentence is halved.
+
+The items are indexed in shards of at most ``SHARD_BYTES`` of text, each with its own corpus
+statistics; a shard's text is bounded and goes to every task of one pass over the documents.
 """
 
 from __future__ import annotations
 
 import functools
 import math
-import pickle
 import re
-import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
-THRESHOLD = 0.5
+THRESHOLD = 0.7
 OVERLAP = 0.8
 SHINGLE = 5
-POSTING_BLOCK = 64
-BLOCK_BYTES = 8 << 20
+BLOCK_ITEMS = 4
+SHARD_BYTES = 512 << 10
+BATCH_WORDS = 1 << 18
 
 _SEPARATORS = bytes.maketrans(bytes(c for c in range(128) if not chr(c).isalnum()),
                               b" " * sum(not chr(c).isalnum() for c in range(128)))
@@ -66,41 +67,62 @@ def shingles(w: list[bytes], k: int = SHINGLE) -> set[tuple[bytes, ...]]:
 class Index:
     """BM25 inverted index with block maxima over items (item_id, text)."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], block: int = POSTING_BLOCK):
-        self.ids: list[int] = []
-        self.parts = []
-        docs: list[Counter] = []
-        for item_id, text in sorted(items):
-            q, a = question_answer(text)
-            if q or a:
-                self.ids.append(item_id)
-                self.parts.append((shingles(q), shingles(a)))
-                docs.append(Counter(q + a))
-        self.longest = max((sum(d.values()) for d in docs), default=0)
+    def __init__(self, items: Iterable[tuple[int, str]], block: int = BLOCK_ITEMS):
+        known = [(len(q) + len(a), i, q, a) for i, text in items
+                 for q, a in [question_answer(text)] if q or a]
+        known.sort()
+        self.ids = [i for _, i, _, _ in known]
+        self.parts = [(shingles(q), shingles(a)) for _, _, q, a in known]
+        docs = [Counter(q + a) for _, _, q, a in known]
         df = Counter(t for d in docs for t in d)
-        mean = sum(sum(d.values()) for d in docs) / max(len(docs), 1)
+        mean = sum(n for n, *_ in known) / max(len(docs), 1)
         idf = {t: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         self.term = {t: i for i, t in enumerate(sorted(df), 1)}  # 0: not in the index
-        post: list[list[tuple[int, float]]] = [[] for _ in range(len(df) + 1)]
-        for i, d in enumerate(docs):
-            norm = K1 * (1 - B + B * sum(d.values()) / mean)
-            impact = {t: idf[t] * n * (K1 + 1) / (n + norm) for t, n in d.items()}
+        self.docs: list[list[int]] = [[] for _ in range(len(df) + 1)]
+        self.impacts: list[list[float]] = [[] for _ in range(len(df) + 1)]
+        # blocks never cross a class; a class's items are at most twice as long as each other
+        self.block_of, self.block_range = [], []
+        self.classes: list[tuple[int, int, int]] = []  # longest item, first and last block
+        for i, (d, (n, *_)) in enumerate(zip(docs, known)):
+            size = (n - 1).bit_length()
+            new_class = i == 0 or size != (known[i - 1][0] - 1).bit_length()
+            if new_class or i - self.block_range[-1][0] == block:
+                self.block_range.append((i, i + 1))
+            else:
+                self.block_range[-1] = (self.block_range[-1][0], i + 1)
+            k = len(self.block_range) - 1
+            self.block_of.append(k)
+            if new_class:
+                self.classes.append((n, k, k + 1))
+            else:
+                self.classes[-1] = (n, self.classes[-1][1], k + 1)
+            norm = K1 * (1 - B + B * n / mean)
+            impact = {t: idf[t] * c * (K1 + 1) / (c + norm) for t, c in d.items()}
             own = sum(impact.values())
             for t, x in impact.items():
-                post[self.term[t]].append((i, x / own))
-        self.docs = [[i for i, _ in p] for p in post]
-        self.impacts = [[x for _, x in p] for p in post]
-        self.upper = np.array([max(x, default=0.0) for x in self.impacts])
-        self.block = block
-        self.block_max = [[max(x[i:i + block]) for i in range(0, len(x), block)]
-                          for x in self.impacts]
-
-    def search(self, terms: Iterable[int], threshold: float) -> list[tuple[int, float]]:
-        """Items with score >= threshold for a set of terms: block-max WAND, document at a
-        time.  A tiny slack absorbs rounding in the bounds; scores are checked exactly."""
+                self.docs[self.term[t]].append(i)
+                self.impacts[self.term[t]].append(x / own)
+        self.block_max = np.zeros((len(df) + 1, len(self.block_range)), np.float32)
+        for t, (where, xs) in enumerate(zip(self.docs, self.impacts)):
+            for i, x in zip(where, xs):
+                k = self.block_of[i]
+                # rounded up, so that a bound never falls below a score
+                self.block_max[t, k] = max(self.block_max[t, k], np.nextafter(
+                    np.float32(x), np.float32(2)))
+        self.upper = self.block_max.max(1, initial=0.0).astype(float)
+
+    def search(self, terms: Iterable[int], threshold: float, first: int = 0,
+               last: int | None = None) -> list[tuple[int, float]]:
+        """Items of [first, last) with score >= threshold for a set of terms, by block-max
+        WAND.  A tiny slack absorbs rounding in sums."""
         need = threshold - 1e-9
-        docs, impacts, size = self.docs, self.impacts, self.block
-        cursors = [[docs[t][0], t, 0] for t in terms if docs[t]]
+        docs, impacts, block_of = self.docs, self.impacts, self.block_of
+        last = len(self.ids) if last is None else last
+        cursors = []
+        for t in terms:
+            at = bisect_left(docs[t], first)
+            if at < len(docs[t]) and docs[t][at] < last:
+                cursors.append([docs[t][at], t, at])
         found = []
         while cursors:
             cursors.sort()
@@ -115,63 +137,64 @@ class Index:
             doc = cursors[pivot][0]
             while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == doc:
                 pivot += 1
-            near, bound = [], 0.0  # bound by the blocks that may hold the pivot document
-            for _, t, at in cursors[:pivot + 1]:
-                at = bisect_left(docs[t], doc, at)
-                near.append(at)
-                if at < len(docs[t]):
-                    bound += self.block_max[t][at // size]
-            if bound >= need:
+            head = cursors[:pivot + 1]
+            block = block_of[doc]
+            target = doc + 1
+            if sum(float(self.block_max[t, block]) for _, t, _ in head) >= need:
                 score = 0.0
-                for (_, t, _), at in zip(cursors[:pivot + 1], near):
+                for _, t, at in head:
+                    at = bisect_left(docs[t], doc, at)
                     if at < len(docs[t]) and docs[t][at] == doc:
                         score += impacts[t][at]
                 if score >= need:
                     found.append((doc, score))
-                target = doc + 1
-            else:  # no document up to the next block end or next cursor can reach the bound
-                ends = [docs[t][min(len(docs[t]), (at // size + 1) * size) - 1] + 1
-                        for (_, t, _), at in zip(cursors[:pivot + 1], near) if at < len(docs[t])]
+            else:  # nothing up to the block's end or the next cursor can reach the threshold
+                target = self.block_range[block][1]
                 if pivot + 1 < len(cursors):
-                    ends.append(cursors[pivot + 1][0])
-                target = max(doc + 1, min(ends, default=doc + 1))
-            alive = []
-            for k, c in enumerate(cursors):
-                if k <= pivot:
-                    c[2] = bisect_left(docs[c[1]], target, c[2])
-                    if c[2] == len(docs[c[1]]):
-                        continue
+                    target = max(doc + 1, min(target, cursors[pivot + 1][0]))
+            rest = cursors[pivot + 1:]
+            for c in head:
+                c[2] = bisect_left(docs[c[1]], target, c[2])
+                if c[2] < len(docs[c[1]]) and docs[c[1]][c[2]] < last:
                     c[0] = docs[c[1]][c[2]]
-                alive.append(c)
-            cursors = alive
+                    rest.append(c)
+            cursors = rest
         return found
 
-    def leaks(self, text: str, threshold: float, overlap: float
-              ) -> dict[int, tuple[float, float, float]]:
-        """Per leaked item its best (score, question overlap, answer overlap) in a passage."""
-        w = words(text)
-        step, out = self.longest, {}
-        if not w or not step:
+    def leaks(self, texts: list[list[bytes]], threshold: float = THRESHOLD,
+              overlap: float = OVERLAP) -> dict[tuple[int, int], tuple[float, float, float]]:
+        """(text, item) -> best (score, question overlap, answer overlap) in a passage, for a
+        batch of texts' words."""
+        out: dict[tuple[int, int], tuple[float, float, float]] = {}
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        n = int(size.sum())
+        if not n or not self.ids:
             return out
-        terms = np.fromiter(map(self.term.get, w, repeat(0)), np.int64, len(w))
-        total = np.concatenate(([0.0], np.cumsum(self.upper[terms])))
-        start = np.arange(0, max(1, len(w) - step), step)
-        end = np.minimum(start + 2 * step, len(w))
-        # a passage's bound with repeats is above that of its distinct terms
-        for k in np.flatnonzero(total[end] - total[start] >= threshold - 1e-6):
-            i, j = int(start[k]), int(end[k])
-            distinct = np.unique(terms[i:j])
-            distinct = distinct[distinct > 0]
-            if self.upper[distinct].sum() < threshold - 1e-6:
-                continue
-            inside = None
-            for doc, score in self.search(distinct.tolist(), threshold):
-                inside = inside or self._inside(w[i:j])
-                q, a = (len(s & inside[min(SHINGLE, self._k(s))]) / len(s) if s else 1.0
-                        for s in self.parts[doc])
-                if q >= overlap and a >= overlap:
-                    got = (score, q, a)
-                    out[doc] = max(out.get(doc, got), got)
+        begin = np.concatenate(([0], size.cumsum()[:-1]))
+        terms = np.fromiter(map(self.term.get, chain.from_iterable(texts), repeat(0)), np.int64, n)
+        for step, b0, b1 in self.classes:
+            steps = -(-size // step)
+            own = np.repeat(np.arange(len(texts)), steps)
+            nth = np.arange(len(own)) - np.repeat(steps.cumsum() - steps, steps)
+            start = begin[own] + nth * step
+            bound = np.add.reduceat(self.block_max[terms, b0:b1], start, axis=0)
+            bound[:-1] += bound[1:] * (own[1:] == own[:-1])[:, None]  # a passage is two steps
+            for w, k in zip(*np.nonzero(bound >= threshold - 1e-3)):
+                o = int(own[w])
+                i = int(nth[w]) * step
+                j = min(i + 2 * step, len(texts[o]))
+                distinct = np.unique(terms[begin[o] + i:begin[o] + j])
+                distinct = distinct[self.block_max[distinct, b0 + k] > 0]
+                if self.block_max[distinct, b0 + k].sum() < threshold - 1e-3:
+                    continue  # the bound counted repeated words
+                inside = None
+                for doc, score in self.search(distinct.tolist(), threshold,
+                                              *self.block_range[b0 + k]):
+                    inside = inside or self._inside(texts[o][i:j])
+                    q, a = (len(s & inside[self._k(s)]) / len(s) if s else 1.0
+                            for s in self.parts[doc])
+                    if q >= overlap and a >= overlap:
+                        out[o, doc] = max(out.get((o, doc), (0.0, 0.0, 0.0)), (score, q, a))
         return out
 
     @staticmethod
@@ -186,19 +209,21 @@ class Index:
 
 
 @functools.lru_cache(maxsize=2)
-def _load(key: str, data: bytes) -> Index:
-    return pickle.loads(data)
+def _index(items: tuple[tuple[int, str], ...]) -> Index:
+    """One index per Python worker and shard."""
+    return Index(items)
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_BYTES; each is bounded, and read on its own."""
+def _shards(items: DataFrame, id_col: str, text_col: str
+            ) -> Iterator[tuple[tuple[int, str], ...]]:
+    """The items in shards of about SHARD_BYTES; each is bounded, and read on its own."""
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter(
         "i is not null and t is not null").distinct()
     size = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
-    n = -(-size // BLOCK_BYTES)
+    n = -(-size // SHARD_BYTES)
     for k in range(n):
-        block = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r["i"], r["t"]) for r in block.collect()]
+        shard = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
+        yield tuple(sorted((r["i"], r["t"]) for r in shard.collect()))
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -217,21 +242,25 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     names = [id_col, item_id_col, "score", "question_overlap", "answer_overlap"]
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
-    def search(block: list[tuple[int, str]]) -> DataFrame:
-        data, key = pickle.dumps(Index(block)), uuid.uuid4().hex
-
+    def search(shard: tuple[tuple[int, str], ...]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = _load(key, data)
+            index = _index(shard)
             for b in batches:
-                out = [(i.as_py(), index.ids[doc], *best)
-                       for i, t in zip(b.column(0), b.column(1))
-                       for doc, best in index.leaks(t.as_py(), threshold, overlap).items()]
+                ids, texts = b.column(0).to_pylist(), b.column(1)
+                out, at, n, group = [], 0, 0, []
+                for k, t in enumerate(texts):
+                    group.append(words(t.as_py()))
+                    n += len(group[-1])
+                    if n >= BATCH_WORDS or k + 1 == len(texts):
+                        out += [(ids[at + o], index.ids[doc], *best) for (o, doc), best in
+                                index.leaks(group, threshold, overlap).items()]
+                        at, n, group = k + 1, 0, []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in out], types[k]) for k in range(len(names))], names)
 
         return src.mapInArrow(run, schema)
 
-    found = [search(b) for b in _blocks(items, item_id_col, item_text_col)]
+    found = [search(s) for s in _shards(items, item_id_col, item_text_col)]
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
     return functools.reduce(DataFrame.unionByName, found)
