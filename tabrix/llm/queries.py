@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,3 +92,39 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(document, benchmark item) pairs where a passage leaks the item."""
     from tabrix.llm.decontamination import leaks
     return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_OP10_SQL = """
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS line_no, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)),
+s AS (
+  SELECT doc_id, line_no, list_sort(list_distinct(list_filter(
+           string_split_regex(line, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))) AS ws
+  FROM lines),
+d AS (SELECT ws, len(ws) AS n, min((doc_id, line_no)) AS place, row_number() OVER () AS id
+      FROM s WHERE len(ws) > 0 GROUP BY ws),
+w AS (SELECT id, n, place, unnest(ws) AS word FROM d),
+c AS (SELECT word, count(*) AS f FROM w GROUP BY word),
+p AS (SELECT id, n, place, word, row_number() OVER (PARTITION BY id ORDER BY f, word) AS i
+      FROM w JOIN c USING (word)),
+q AS (SELECT * FROM p WHERE i <= n - CAST(ceil(0.8 * n - 1e-9) AS BIGINT) + 1),
+pairs AS (SELECT DISTINCT a.id AS x, b.id AS y FROM q a JOIN q b USING (word)
+          WHERE b.place < a.place AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+gone AS (SELECT DISTINCT x FROM pairs JOIN d a ON a.id = x JOIN d b ON b.id = y
+         WHERE len(list_intersect(a.ws, b.ws))
+               >= 0.8 * (a.n + b.n - len(list_intersect(a.ws, b.ws))) - 1e-9)
+SELECT s.doc_id, CAST(s.line_no AS INTEGER) AS line_no,
+       len(s.ws) > 0 AND (gone.x IS NOT NULL OR d.place <> (s.doc_id, s.line_no)) AS removed
+FROM s LEFT JOIN d USING (ws) LEFT JOIN gone ON gone.x = d.id
+"""
+
+
+@_query("op10_line_dedup", _OP10_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether an earlier line with Jaccard similarity of 0.8 removes it, for every line."""
+    from tabrix.llm.line_dedup import removed_lines
+    return removed_lines(_table(spark, sf_dir, "documents"))
+
+
+_query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
