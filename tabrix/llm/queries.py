@@ -128,3 +128,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
+
+
+@_query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document by 20-word windows that start earlier elsewhere."""
+    from tabrix.llm.substring_dedup import removed_words
+    return removed_words(_table(spark, sf_dir, "documents"), window=20)
