@@ -135,3 +135,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every document by 20-word windows that start earlier elsewhere."""
     from tabrix.llm.substring_dedup import removed_words
     return removed_words(_table(spark, sf_dir, "documents"), window=20)
+
+
+_OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label
+  WHERE a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+r(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.x = vec_id LEFT JOIN n ON n.x = vec_id
+"""
+
+
+@_query("op5_lattice_near_dedup", _OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine >= 0.93 within a label, their components and what is kept."""
+    from tabrix.llm.lattice_dedup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
