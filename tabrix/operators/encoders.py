@@ -266,13 +266,12 @@ class OneHotEncoder:
 
 def one_hot_transform(df: DataFrame, levels: dict[str, list[str]], keep_source: bool = False
                       ) -> DataFrame:
-    sel = [F.col(c) for c in df.columns if keep_source or c not in levels]
+    sel = [F.col(f"`{c}`") for c in df.columns if keep_source or c not in levels]
     for c, ls in levels.items():
-        for lvl in ls:
-            sel.append((F.col(c).cast("string") == F.lit(lvl)).cast("int").alias(f"{c}_{lvl}"))
-    out = df.select(*sel)
-    # NULL source -> 0 in every indicator
-    return out.na.fill(0, subset=[f"{c}_{lvl}" for c, ls in levels.items() for lvl in ls])
+        for lvl in ls:  # NULL source -> 0 in every indicator
+            sel.append(F.coalesce(F.col(f"`{c}`").cast("string") == F.lit(lvl), F.lit(False))
+                       .cast("int").alias(f"{c}_{lvl}"))
+    return df.select(*sel)
 
 
 # ---------------------------------------------------------------- E6 median impute

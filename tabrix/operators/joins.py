@@ -56,10 +56,10 @@ def exclude(df: DataFrame, other: DataFrame, keys: str | Sequence[str] = "id") -
 
 
 def attach_scores(df: DataFrame, scores: DataFrame, key: str = "id",
-                  check: bool = False) -> DataFrame:
+                  check: bool = True) -> DataFrame:
     """Attach per-row scores by key (the reference aligns by row position).
 
-    ``check`` asserts that both sides have the same rows (two counts; off by default)."""
+    ``check`` asserts that both sides have the same rows (three counts)."""
     out = df.join(scores, key, "inner")
     if check:
         n_df, n_sc, n_out = df.count(), scores.count(), out.count()

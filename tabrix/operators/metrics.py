@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrix.operators.ranking import ordered_prefix
@@ -18,9 +18,9 @@ from tabrix.operators.ranking import ordered_prefix
 
 def auc(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """V1: exact ROC AUC (Mann-Whitney; tied scores count one half), per ``by`` group.
-    A group with a single class gets NULL."""
+    A group with a single class gets NULL.  Rows without label or score do not count."""
     by = list(by)
-    g = scores.groupBy(*by, p).agg(
+    g = scores.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(*by, p).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("double").alias("_neg"))
     cum = ordered_prefix(g, [p], {"_cneg": F.col("_neg")}, by=by)
@@ -48,12 +48,12 @@ def f1_by_threshold(scores: DataFrame, thresholds: Sequence[float], y: str = "y"
                     p: str = "p") -> DataFrame:
     """V3 table: (j, threshold, tp, fp, fn, f1, best) for every candidate, prediction
     ``p > threshold``.  One pass over the data: each row's score becomes the number of
-    thresholds below it (<= len+1 groups); suffix sums over that tiny table give the
+    thresholds below it (<= len+1 groups; rows without label or score do not count); suffix sums over that tiny table give the
     counts for every threshold.  ``best`` marks the first maximum F1 (none if all 0)."""
     ts = list(thresholds)
     spark = scores.sparkSession
     idx = sum((F.when(F.col(p) > F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
-    cnt = scores.groupBy(idx.alias("k")).agg(
+    cnt = scores.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(idx.alias("k")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg"))
     grid = spark.createDataFrame([(j + 1, j, t) for j, t in enumerate(ts)],
@@ -90,12 +90,18 @@ def accuracy(df: DataFrame, y: str = "y", pred: str = "y_pred") -> DataFrame:
 
 def confusion(df: DataFrame, y: str = "y", pred: str = "y_pred",
               labels: Sequence[int] = (0, 1)) -> DataFrame:
-    """V5: (y, y_pred, n) on the full label grid (zero cells included)."""
+    """V5: (y, y_pred, n) on the full label grid (zero cells included).  A row whose label
+    or prediction is null or not in ``labels`` is an error."""
     spark = df.sparkSession
     grid = spark.createDataFrame([(a, b) for a in labels for b in labels],
                                  f"{y} int, {pred} int")
-    c = df.groupBy(F.col(y).cast("int").alias(y), F.col(pred).cast("int").alias(pred)).agg(
-        F.count(F.lit(1)).alias("n"))
+
+    def known(name: str) -> Column:
+        v = F.col(name).cast("int")
+        return F.when(v.isin(*labels), v).otherwise(F.raise_error(F.lit(
+            f"confusion: {name} is not in {list(labels)}")).cast("int")).alias(name)
+
+    c = df.groupBy(known(y), known(pred)).agg(F.count(F.lit(1)).alias("n"))
     return (F.broadcast(grid).join(c, [y, pred], "left")
             .select(y, pred, F.coalesce("n", F.lit(0)).alias("n")))
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.operators.sampling import holdout, kfold
@@ -46,27 +46,37 @@ class TreeConfig:
         return TreeConfig(**d)
 
 
+def feature_value(c: str, categorical: dict[str, int] | None = None) -> Column:
+    """A scalar feature as models see it: missing numbers are ``MISSING``, missing and unknown
+    categories one level of their own."""
+    v = F.col(c).cast("double")
+    if categorical and c in categorical:
+        n = float(categorical[c])
+        return F.when((v >= 0) & (v < n), v).otherwise(F.lit(n))
+    return F.coalesce(v, F.lit(MISSING))
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features",
              categorical: dict[str, int] | None = None) -> DataFrame:
     """Vector column from numeric features (vector columns, e.g. sparse one-hot blocks, are
     appended as they are); missing values become ``MISSING`` (trees split on it).  Use
     median imputation first where a neutral value is wanted.
 
-    ``categorical``: feature -> number of levels (codes 0..n-1).  Those features are
-    declared nominal in the vector's ML attribute metadata, so MLlib trees split them
+    ``categorical``: feature -> number of levels (codes 0..n-1); NULL, negative and larger
+    codes (unknown levels) share one more level n.  Those features are declared nominal in the vector's ML attribute metadata, so MLlib trees split them
     as unordered categories (the boosted-tree notebooks' native categories)."""
     from pyspark.ml.linalg import VectorUDT
     is_vec = {c for c in features if isinstance(df.schema[c].dataType, VectorUDT)}
     if is_vec and categorical:
         raise ValueError("categorical metadata needs scalar feature columns only")
     filled = df.select("*", *[(F.col(c) if c in is_vec else
-                               F.coalesce(F.col(c).cast("double"), F.lit(MISSING)))
+                               feature_value(c, categorical))
                               .alias(f"_tbx_f{i}") for i, c in enumerate(features)])
     va = VectorAssembler(inputCols=[f"_tbx_f{i}" for i in range(len(features))],
                          outputCol=out, handleInvalid="keep")
     v = va.transform(filled).drop(*[f"_tbx_f{i}" for i in range(len(features))])
     if categorical:
-        nominal = [{"idx": i, "name": c, "num_vals": int(categorical[c])}
+        nominal = [{"idx": i, "name": c, "num_vals": int(categorical[c]) + 1}
                    for i, c in enumerate(features) if c in categorical]
         numeric = [{"idx": i, "name": c} for i, c in enumerate(features) if c not in categorical]
         meta = {"ml_attr": {"attrs": {"nominal": nominal, "numeric": numeric},
@@ -89,22 +99,26 @@ class Fitted:
     extra: dict = field(default_factory=dict)
 
 
+def _bins(cfg: TreeConfig, categorical: dict[str, int] | None) -> int:
+    return max([cfg.max_bins, *(n + 1 for n in (categorical or {}).values())])
+
+
 def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
             label: str = "y", weight: str | None = None, val_col: str | None = None,
             internal_val: float | None = None,
-            categorical: dict[str, int] | None = None) -> Fitted:
+            categorical: dict[str, int] | None = None, id_col: str = "id") -> Fitted:
     """Gradient-boosted trees.  ``val_col``: given early-stopping flag (G2);
     ``internal_val``: carve that share of the training rows as the early-stopping part
     (G1); neither: fixed rounds (G3).  ``categorical``: code columns split as categories."""
     d = df
     if internal_val:
-        d = holdout(d, internal_val, seed=cfg.seed, name="_tbx_val")
+        d = holdout(d, internal_val, seed=cfg.seed, id_col=id_col, name="_tbx_val")
         val_col = "_tbx_val"
     kw = dict(labelCol=label, featuresCol="features", maxIter=cfg.max_iter,
               stepSize=cfg.step_size, maxDepth=cfg.max_depth,
               minInstancesPerNode=cfg.min_instances, subsamplingRate=cfg.subsampling_rate,
               featureSubsetStrategy=cfg.feature_subset, minInfoGain=cfg.min_info_gain,
-              maxBins=max([cfg.max_bins, *(categorical or {}).values()]), seed=cfg.seed,
+              maxBins=_bins(cfg, categorical), seed=cfg.seed,
               checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
@@ -122,12 +136,12 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
                label: str = "y", weight: str | None = None,
                categorical: dict[str, int] | None = None) -> Fitted:
     """Randomised tree ensemble without bootstrap (thresholds are best splits, not
-    random: no extra-trees learner in MLlib)."""
+    random: no extra-trees learner in MLlib).  MLlib allows a depth of at most 30 and
+    raises beyond."""
     kw = dict(labelCol=label, featuresCol="features", numTrees=cfg.num_trees,
-              maxDepth=min(cfg.max_depth, 30), minInstancesPerNode=cfg.min_instances,
+              maxDepth=cfg.max_depth, minInstancesPerNode=cfg.min_instances,
               featureSubsetStrategy="sqrt" if cfg.feature_subset == "all" else cfg.feature_subset,
-              bootstrap=cfg.bootstrap, maxBins=max([cfg.max_bins, *(categorical or {}).values()]),
-              seed=cfg.seed,
+              bootstrap=cfg.bootstrap, maxBins=_bins(cfg, categorical), seed=cfg.seed,
               subsamplingRate=cfg.subsampling_rate, checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
@@ -141,7 +155,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
           hard: bool = False, threshold: float = 0.5) -> DataFrame:
     """Probability of class 1 (and ``y_pred = p > threshold`` when ``hard``)."""
-    data = assemble(df.select(*keep, *fitted.features), fitted.features)
+    data = assemble(df.select(*keep, *fitted.features), fitted.features,
+                    categorical=fitted.extra.get("categorical"))
     out = fitted.model.transform(data).select(
         *keep, vector_to_array("probability")[1].alias("p"))
     if hard:
@@ -150,16 +165,12 @@ def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
 
 
 def class_weights(df: DataFrame, y: str = "y", name: str = "w") -> DataFrame:
-    """Balanced weights n / (k * n_c) attached to every row.  The per-class counts are
-    one small aggregate (class count checked), so the k-row weight table is broadcast."""
+    """Balanced weights n / (k * n_c) attached to every row: class counts joined back."""
     from tabrix.operators.sampling import class_counts
     cc = class_counts(df, y)
-    n, k = sum(cc.values()), len(cc)
-    ytype = df.schema[y].dataType.simpleString()
-    w = df.sparkSession.createDataFrame([(c, n / (k * nc)) for c, nc in cc.items()],
-                                        f"_tbx_y {ytype}, {name} double")
-    j = df.join(F.broadcast(w), df[y].eqNullSafe(w["_tbx_y"]), "left")
-    return j.drop("_tbx_y")
+    n, k = (cc.agg(a).scalar() for a in (F.sum("n"), F.count(F.lit(1))))
+    w = cc.select(F.col(y).alias("_tbx_y"), (n / (k * F.col("n"))).alias(name))
+    return df.join(w, df[y].eqNullSafe(w["_tbx_y"]), "left").drop("_tbx_y")
 
 
 FitFn = Callable[[DataFrame], Fitted]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tabrix.session import materialize, rows_per_task, shuffle_partitions
 
 _BUCKET = "_tbx_bucket"
+_GROUP = "_tbx_group"
 
 
 def _col(c) -> Column:
@@ -65,6 +66,11 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     else:
         counted = None
         keyed = df.withColumn(_BUCKET, bucket)
+    # the group as one non-null key: structs compare null fields as equal, so the join below
+    # is a plain equality and reuses the local windows' partitioning
+    if by:
+        keyed = keyed.withColumn(_GROUP, F.struct(*by))
+    group = [_GROUP] if by else []
     # with no groups the offsets table has one row per bucket: bounded by num_buckets or by
     # the caller's bucket domain, so it is safe to broadcast.  With groups, AQE sees its
     # real size at runtime and picks broadcast or a co-partitioned shuffle join.
@@ -78,7 +84,7 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     okey = F.struct(*order_cols)
     # totals per (bucket, group) -> exclusive running sums across buckets = offsets;
     # the last row's lag columns of each (bucket, group), shifted by one bucket.
-    tot = materialize(keyed.groupBy(_BUCKET, *by).agg(
+    tot = materialize(keyed.groupBy(_BUCKET, *group).agg(
         F.count(F.lit(1)).alias("_tbx_rows"),
         *[F.sum(tmp[n]).alias(tmp[n]) for n in names],
         *[F.max_by(F.col(c), okey).alias(f"_tbx_last_{c}") for c in lag]))
@@ -86,24 +92,24 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     # task holds more than ``target`` rows on average (AQE can coalesce, never split)
     total_rows = counted if counted is not None else (tot.agg(F.sum("_tbx_rows")).first()[0] or 0)
     tasks = -(-total_rows // target)
-    w_off = (Window.partitionBy(*by).orderBy(_BUCKET)
+    w_off = (Window.partitionBy(*group).orderBy(_BUCKET)
              .rowsBetween(Window.unboundedPreceding, -1))
-    w_prev = Window.partitionBy(*by).orderBy(_BUCKET)
-    offs = tot.select(_BUCKET, *by, *[
+    w_prev = Window.partitionBy(*group).orderBy(_BUCKET)
+    offs = tot.select(_BUCKET, *group, *[
         F.coalesce(F.sum(tmp[n]).over(w_off), F.lit(0)).alias(tmp[n] + "_off") for n in names],
         *[F.lag(f"_tbx_last_{c}").over(w_prev).alias(f"_tbx_plast_{c}") for c in lag])
     if small_offsets:
         offs = F.broadcast(offs)
 
-    w_loc = (Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
+    w_loc = (Window.partitionBy(_BUCKET, *group).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_row = Window.partitionBy(_BUCKET, *by).orderBy(*order_cols)
-    src = keyed.repartition(tasks, _BUCKET, *by) if tasks > base else keyed
+    w_row = Window.partitionBy(_BUCKET, *group).orderBy(*order_cols)
+    src = keyed.repartition(tasks, _BUCKET, *group) if tasks > base else keyed
     loc = src.select("*", *[F.sum(tmp[n]).over(w_loc).alias(tmp[n] + "_loc") for n in names],
                        *([F.row_number().over(w_row).alias("_tbx_lrn")] if lag else []),
                        *[F.lag(c).over(w_row).alias(f"_tbx_llag_{c}") for c in lag])
 
-    cond = [loc[_BUCKET] == offs[_BUCKET]] + [loc[b].eqNullSafe(offs[b]) for b in by]
+    cond = [loc[c] == offs[c] for c in [_BUCKET, *group]]
     j = loc.join(offs, cond, "inner")
     out_cols = [loc[c] for c in df.columns]
     return j.select(*out_cols, *[
@@ -148,6 +154,7 @@ def seeded_rank(df: DataFrame, id_col: str, seed: int, by: Sequence[str] = (),
         return r.drop("_tbx_key", "_tbx_tag")
     if duplicates != "unique":
         raise ValueError(duplicates)
-    bucket = F.conv(F.substring(key, 1, digits), 16, 10).cast("int")
+    # a null id has no key; nulls come first, so do their buckets
+    bucket = F.coalesce(F.conv(F.substring(key, 1, digits), 16, 10).cast("int"), F.lit(-1))
     r = exact_rank(keyed, ["_tbx_key", id_col], by=by, name=name, bucket=bucket)
     return r.drop("_tbx_key")

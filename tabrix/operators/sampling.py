@@ -8,23 +8,18 @@ row choice is not reproduced (its RNG is not portable); counts and balance are.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrix.operators.ranking import exact_rank, seed_key, seeded_rank
+from tabrix.session import materialize
 
 
-def class_counts(df: DataFrame, y: str) -> dict:
-    """Per-class row counts (one small aggregate; classes are few by contract)."""
-    max_classes = 10_000
-    rows = df.groupBy(y).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"{y} has more than {max_classes} classes; "
-                         "stratify on a low-cardinality label")
-    return {r[0]: r[1] for r in rows}
+def class_counts(df: DataFrame, y: str) -> DataFrame:
+    """Per-class row counts: ``y``, ``n`` (one row per class)."""
+    return df.groupBy(y).agg(F.count(F.lit(1)).alias("n"))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id",
@@ -37,8 +32,7 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, id_col: str = "id",
 def balance(df: DataFrame, y: str = "y", seed: int = 42, id_col: str = "id",
             duplicates: str = "unique") -> DataFrame:
     """Undersample every class to the smallest class count (exact counts)."""
-    cc = class_counts(df, y)
-    m = min(cc.values()) if cc else 0
+    m = class_counts(df, y).agg(F.min("n")).scalar()
     r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk", duplicates=duplicates)
     return r.where(F.col("_tbx_rk") <= m).drop("_tbx_rk")
 
@@ -55,27 +49,26 @@ def holdout(df: DataFrame, frac: float = 0.2, seed: int = 42, id_col: str = "id"
         n_hold = F.ceil(F.lit(frac) * df.agg(F.count(F.lit(1))).scalar())
         r = seeded_rank(df, id_col, seed, name="_tbx_rk", duplicates=duplicates)
         return r.select(*df.columns, (F.col("_tbx_rk") <= n_hold).alias(name))
-    cc = class_counts(df, y)
-    quota = stratified_quota(cc, frac)
-    q = df.sparkSession.createDataFrame([(k, v) for k, v in quota.items()],
-                                        f"_tbx_y {df.schema[y].dataType.simpleString()}, "
-                                        "_tbx_q long")
+    q = stratified_quota(class_counts(df, y), y, frac)
     r = seeded_rank(df, id_col, seed, by=[y], name="_tbx_rk", duplicates=duplicates)
-    j = r.join(F.broadcast(q), r[y].eqNullSafe(q["_tbx_y"]), "left")
+    j = r.join(q, r[y].eqNullSafe(q["_tbx_y"]), "left")
     return j.select(*[r[c] for c in df.columns],
                     (F.col("_tbx_rk") <= F.coalesce(F.col("_tbx_q"), F.lit(0))).alias(name))
 
 
-def stratified_quota(cc: dict, frac: float) -> dict:
-    total = sum(cc.values())
-    n_hold = math.ceil(frac * total)
-    cont = {k: v * n_hold / total for k, v in cc.items()}
-    base = {k: math.floor(v) for k, v in cont.items()}
-    rest = n_hold - sum(base.values())
-    order = sorted(cc, key=lambda k: (-(cont[k] - base[k]), (k is None, k)))
-    for k in order[:rest]:
-        base[k] += 1
-    return base
+def stratified_quota(counts: DataFrame, y: str, frac: float) -> DataFrame:
+    """Holdout rows per class (``_tbx_y``, ``_tbx_q``) from the (y, n) class table: floors
+    of the proportional shares, the remainder by largest fraction, ties by class, null last."""
+    total = counts.agg(F.sum("n")).scalar()
+    n_hold = F.ceil(F.lit(frac) * total)
+    share = F.col("n") * n_hold / total
+    part = counts.select(F.col(y).alias("_tbx_y"), F.floor(share).alias("base"),
+                         (share - F.floor(share)).alias("rest"))
+    left = n_hold - part.agg(F.sum("base")).scalar()
+    # one row per class, no data rows
+    order = Window.orderBy(F.col("rest").desc(), F.col("_tbx_y").isNull(), "_tbx_y")
+    return part.select("_tbx_y", (F.col("base") + (F.row_number().over(order) <= left)
+                                  .cast("int")).alias("_tbx_q"))
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, y: str | None = "y",
@@ -100,12 +93,17 @@ def top_k(df: DataFrame, by: str, k: int, tie: Sequence[str] = ()) -> DataFrame:
 def extremes(df: DataFrame, score: str = "p", frac: float = 0.05, id_col: str = "id",
              n: int | None = None) -> DataFrame:
     """K2: lowest and highest ``n = int(frac*N)`` rows by score (ties by id, ascending
-    order; the highest are the last n).  n = 0 gives no rows.  Adds ``end`` = 'top' /
+    order; the highest are the last n) among the N rows that have a score; a given ``n`` is
+    halved where both ends would meet.  n = 0 gives no rows.  Adds ``end`` = 'top' /
     'bottom'.  Exact rank via a range-partitioned prefix sum, so a score value shared by a
     third of the rows still splits across tasks."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    if n is None and not 0 <= frac <= 0.5:
+        raise ValueError("frac must lie between 0 and 0.5: the two ends would overlap")
+    known = df.where(F.col(score).isNotNull())
+    total = known.agg(F.count(F.lit(1))).scalar()
     nn = F.lit(n) if n is not None else F.floor(F.lit(frac) * total)
-    r = exact_rank(df, [score, id_col], name="_tbx_rk")
+    nn = F.least(nn, F.floor(total / 2))
+    r = exact_rank(known, [score, id_col], name="_tbx_rk")
     end = (F.when(F.col("_tbx_rk") <= nn, F.lit("bottom"))
             .when(F.col("_tbx_rk") > total - nn, F.lit("top")))
     return (r.select(*df.columns, end.alias("end")).where(F.col("end").isNotNull()))
@@ -115,11 +113,10 @@ def carve_holdout(df: DataFrame, n: int, seed: int, id_base: int, id_col: str =
                   y: str = "y"):
     """S3: sample ``n`` rows as a pseudo-test set: drop ``y``, renumber ids from
     ``id_base`` in sampled order, and remove them from train.  Returns (train, test)."""
-    r = seeded_rank(df, id_col, seed, name="_tbx_rk")
+    # written once, so that both parts come from one ranking
+    r = materialize(seeded_rank(df, id_col, seed, name="_tbx_rk"))
     picked = r.where(F.col("_tbx_rk") <= n)
     test = picked.select(*[(F.lit(id_base) + F.col("_tbx_rk") - 1).cast("long").alias(c)
                            if c == id_col else F.col(c) for c in df.columns if c != y])
     train = r.where(F.col("_tbx_rk") > n).drop("_tbx_rk")
     return train, test
-
-

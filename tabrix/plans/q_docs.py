@@ -68,13 +68,12 @@ def docs_e3(spark, sf):
     return out.select("doc_id", rnd("lang_freq", "lang_freq"))
 
 
-@query("docs_v1_auc_by_lang", WD + """, s AS (SELECT lang, quality AS y, least(n_chars, 20000) / 20000.0 AS p FROM docs),
-g AS (SELECT lang, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+@query("docs_v1_auc_by_lang", WD + """, s AS (SELECT lang, quality AS y, n_chars AS p FROM docs WHERE quality IS NOT NULL AND n_chars IS NOT NULL),
+g AS (SELECT lang, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg
       FROM s GROUP BY lang, p),
 c AS (SELECT lang, pos, neg, sum(neg) OVER (PARTITION BY lang ORDER BY p ROWS UNBOUNDED PRECEDING) - neg AS below FROM g)
 SELECT lang, round(sum(pos * (below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0), 6) AS auc FROM c GROUP BY lang""")
 def docs_v1(spark, sf):
     """V1 per language: how well document length ranks quality."""
-    d = docs(spark, sf).select("lang", F.col("quality").alias("y"),
-                               (F.least(F.col("n_chars"), F.lit(20000)) / 20000.0).alias("p"))
+    d = docs(spark, sf).select("lang", F.col("quality").alias("y"), F.col("n_chars").alias("p"))
     return V.auc(d, by=["lang"]).select("lang", rnd("auc", "auc"))

@@ -23,7 +23,7 @@ S_SQL = f"s AS (SELECT id, y, {FIXED_SCORE_SQL} AS p FROM campaign)"
 P_SQL = f"s AS (SELECT id, y, {FIXED_SCORE_SQL} AS p, CAST({FIXED_SCORE_SQL} > {THRESH} AS INTEGER) AS y_pred FROM campaign)"
 
 _AUC_BODY = """
-g AS (SELECT {by}p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+g AS (SELECT {by}p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg
       FROM {src} GROUP BY {by}p)""", """
 c AS (SELECT {by}pos, neg, sum(neg) OVER ({part}ORDER BY p ROWS UNBOUNDED PRECEDING) - neg AS below FROM g)"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import threading
 import uuid
@@ -44,7 +44,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false"))
     if master and master.startswith("local"):
-        b = b.config("spark.driver.memory", "16g")
+        b = b.config("spark.driver.memory", "8g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
@@ -62,6 +62,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     with _ckpt_lock:
         d = spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and "
+                                 "all executors share")
             d = tempfile.mkdtemp(prefix="tabrix-ckpt-")
             spark.conf.set("spark.checkpoint.dir", d)
         sc = spark.sparkContext
@@ -91,7 +94,3 @@ DEFAULT_ROWS_PER_TASK = 2_000_000
 def rows_per_task(spark: SparkSession) -> int:
     v = spark.conf.get("spark.tabrix.rowsPerTask", None)
     return int(v) if v else DEFAULT_ROWS_PER_TASK
-
-
-def local_data_dir() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

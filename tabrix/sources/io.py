@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,21 +20,53 @@ CAMPAIGN_SCHEMA = T.StructType([
 ])
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,
+# Texts that the usual CSV readers take as missing.
+MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+                 "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def _parsed(field: T.StructField) -> Column:
+    """A text column as the field's type; missing texts are NULL, a whole number may be written
+    as ``30.0``, and any other value that does not fit is an error naming column and value."""
+    text = F.trim(F.col(f"`{field.name}`"))
+    missing = text.isNull() | text.isin(*MISSING_TEXTS)
+    if isinstance(field.dataType, T.StringType):
+        return F.when(missing, None).otherwise(F.col(f"`{field.name}`"))
+    if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        number = text.try_cast("double")
+        value = F.coalesce(text.try_cast(field.dataType),
+                           F.when(number == F.floor(number), number.try_cast(field.dataType)))
+    else:
+        value = text.try_cast(field.dataType)
+    wrong = F.raise_error(F.concat(F.lit(f"column {field.name}: cannot read '"), text, F.lit(
+        f"' as {field.dataType.simpleString()}"))).cast(field.dataType)
+    return F.when(missing, None).otherwise(F.coalesce(value, wrong))
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                fmt: str = "csv", header: bool = True) -> DataFrame:
-    """Read a header CSV (declared schema, NaN text -> NULL) or parquet."""
+    """Read CSV or parquet; NaN is NULL in any format.
+
+    With ``schema``, columns are taken by name (by place in a CSV without header), cast and
+    put in the schema's order; extra columns are left out and a missing one is an error."""
+    if isinstance(schema, str):
+        schema = T.DataType.fromDDL(schema)
     if fmt == "parquet":
-        r = spark.read
+        df = spark.read.parquet(path)
         if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(path)
-    r = spark.read.option("header", header).option("nanValue", "NaN").option("nullValue", "")
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    df = r.csv(path)
-    # NaN -> NULL at the source (every operator is specified on NULL)
-    return df.select(*[F.nanvl(F.col(f.name), F.lit(None)).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+            df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
+    elif schema is None:
+        df = (spark.read.option("header", header).option("nanValue", "NaN")
+              .option("nullValue", "").option("inferSchema", True).csv(path))
+    else:
+        df = spark.read.option("header", header).csv(path)
+        if not header:
+            df = df.toDF(*[f.name for f in schema][:len(df.columns)])
+        df = df.select(*[_parsed(f).alias(f.name) for f in schema])
+    # every operator is specified on NULL
+    return df.select(*[F.nanvl(F.col(f"`{f.name}`"), F.lit(None)).cast(f.dataType).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType))
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -56,9 +88,9 @@ def read_or_holdout(spark: SparkSession, train: DataFrame, test_path: str | None
 
 
 def write_submission(df: DataFrame, path: str, header: bool = False,
-                     single_file: bool = False) -> None:
+                     single_file: bool = False, id_col: str = "id") -> None:
     """Id-ordered CSV (a directory of part files; one file only on request)."""
-    out = df.orderBy("id")
+    out = df.orderBy(id_col)
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").option("header", header).csv(path)

@@ -26,16 +26,17 @@ def read_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
 
 
 def run_available(stream: DataFrame, sink_path: str, fmt: str = "parquet",
-                  checkpoint: str | None = None, timeout_s: int = 600) -> str:
+                  checkpoint: str | None = None, timeout_s: float | None = None) -> str:
     """Process everything currently available (``availableNow`` trigger) into a file sink
-    and stop.  Returns the sink path."""
+    and stop.  ``timeout_s``: give up after that time (default: never).  Returns the sink path."""
     spark = stream.sparkSession
     ck = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
     q = (stream.writeStream.format(fmt).option("path", sink_path)
          .option("checkpointLocation", ck).outputMode("append")
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if q.exception() is not None:
