@@ -250,12 +250,12 @@ class OneHotEncoder:
     def fit(self, df: DataFrame) -> dict[str, list[str]]:
         lv = (_long(df, self.cols, None).where(F.col("level").isNotNull())
               .groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n")))
-        n_levels = lv.count()
-        if n_levels > self.max_levels:
-            raise ValueError(f"one-hot: {n_levels} levels > max_levels={self.max_levels}; "
-                             "use the sparse vector path (pyspark.ml OneHotEncoder)")
+        found = lv.select("feature", "level").limit(self.max_levels + 1).collect()
+        if len(found) > self.max_levels:
+            raise ValueError(f"one-hot: more than max_levels={self.max_levels} levels; "
+                             "use the sparse vector path (one_hot_vectors)")
         levels: dict[str, list[str]] = {c: [] for c in self.cols}
-        for r in lv.select("feature", "level").collect():  # bounded by max_levels
+        for r in found:
             levels[r[0]].append(r[1])
         for c in levels:
             levels[c].sort()
@@ -322,15 +322,18 @@ class EncoderSet:
         st = lv.groupBy("feature", "level").agg(
             F.count(F.when(~F.col("isnull"), 1)).alias("n"),
             F.avg(F.when(~F.col("isnull"), F.col("t"))).alias("my"),
-            F.count(F.lit(1)).alias("n_all"))
+            F.count(F.lit(1)).alias("n_all"), F.sum("t").alias("t_sum"),
+            F.count("t").alias("t_n"))
         if self.freq_levels:
             fixed = df.sparkSession.createDataFrame(
                 [(c, x) for c, ls in self.freq_levels.items() for x in ls],
                 "feature string, level string")
             st = (fixed.join(st, ["feature", "level"], "full")
                   .select("feature", "level", F.coalesce("n", F.lit(0)).alias("n"),
-                          "my", F.coalesce("n_all", F.lit(0)).alias("n_all")))
-        g = df.agg(F.avg(F.col(self.target).cast("double"))).scalar()
+                          "my", F.coalesce("n_all", F.lit(0)).alias("n_all"), "t_sum", "t_n"))
+        st = materialize(st)  # one row per level; all below reads this table, not the rows
+        # every column's levels cover all rows, so any column gives the mean over all rows
+        g = st.where(F.col("feature") == self.cols[0]).agg(F.sum("t_sum") / F.sum("t_n")).scalar()
         tot = st.groupBy("feature").agg(F.sum("n").alias("_tot"))
         m = F.lit(self.m)
         st = st.join(F.broadcast(tot), "feature").select(

@@ -49,8 +49,8 @@ def count_id_by(df: DataFrame, key: str, id_col: str = "id", name: str = "n") ->
 
 def relative_frequency(df: DataFrame, key: str, name: str = "freq") -> DataFrame:
     """Share of each non-null level among non-null rows."""
-    c = size_by(df, key, "_n")
-    total = df.where(F.col(key).isNotNull()).agg(F.count(F.lit(1))).scalar()
+    c = materialize(size_by(df, key, "_n").where(F.col(key).isNotNull()))
+    total = c.agg(F.sum("_n")).scalar()
     return c.select(key, (F.col("_n") / total).alias(name))
 
 

@@ -14,15 +14,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrix.operators.ranking import ordered_prefix
+from tabrix.session import materialize
 
 
 def auc(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
     """V1: exact ROC AUC (Mann-Whitney; tied scores count one half), per ``by`` group.
     A group with a single class gets NULL.  Rows without label or score do not count."""
-    by = list(by)
-    g = scores.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(*by, p).agg(
+    return _auc_of_counts(_score_counts(scores, y, p, by), p, by)
+
+
+def _score_counts(scores: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
+    return scores.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(*by, p).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("double").alias("_neg"))
+
+
+def _auc_of_counts(g: DataFrame, p: str, by: Sequence[str]) -> DataFrame:
+    by = list(by)
     cum = ordered_prefix(g, [p], {"_cneg": F.col("_neg")}, by=by)
     part = F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") * 0.5)
     return cum.groupBy(*by).agg(
@@ -32,10 +40,12 @@ def auc(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -
 def cv_report(scores: DataFrame, fold: str = "fold", y: str = "y", p: str = "p") -> DataFrame:
     """V2: per-fold AUC, their mean and population std, and the overall (pooled) AUC, as
     one row: (mean_auc, std_auc, oof_auc, n_folds)."""
-    per = auc(scores, y, p, by=[fold])
+    counts = materialize(_score_counts(scores, y, p, [fold]))  # one pass over the scores
+    per = _auc_of_counts(counts, p, [fold])
     stats = per.agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"),
                     F.count(F.lit(1)).alias("n_folds"))
-    overall = auc(scores, y, p).select(F.col("auc").alias("oof_auc"))
+    pooled = counts.groupBy(p).agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    overall = _auc_of_counts(pooled, p, []).select(F.col("auc").alias("oof_auc"))
     return stats.select("mean_auc", "std_auc", overall.scalar().alias("oof_auc"), "n_folds")
 
 
@@ -112,33 +122,37 @@ def class_report(df: DataFrame, y: str = "y", pred: str = "y_pred",
     averages (0/0 -> 0).  Rows: label in ('0', '1', 'accuracy', 'macro avg',
     'weighted avg')."""
     cm = confusion(df, y, pred, labels)
-    tp = F.sum(F.when(F.col(y) == F.col(pred), F.col("n")).otherwise(0))
+
+    def cells(cond: Column) -> Column:
+        return F.sum(F.when(cond, F.col("n")).otherwise(0))
+
+    hit = F.col(y) == F.col(pred)
+    one = cm.agg(  # one row: three counters per label
+        cells(hit).alias("hits"), F.sum("n").alias("total"),
+        *[cells(c).alias(f"{k}{i}") for i, lab in enumerate(labels) for k, c in (
+            ("tp", hit & (F.col(y) == lab)), ("pp", F.col(pred) == lab),
+            ("sup", F.col(y) == lab))])
+
+    def share(a: Column, b: Column) -> Column:
+        return F.when(b == 0, 0.0).otherwise(a / b)
+
+    def row(label: str, precision: Column, recall: Column, f1: Column, support: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), precision.alias("precision"),
+                        recall.alias("recall"), f1.alias("f1"), support.alias("support"))
+
     per = []
-    for lab in labels:
-        t = cm.agg(
-            F.sum(F.when((F.col(y) == lab) & (F.col(pred) == lab), F.col("n")).otherwise(0)).alias("tp"),
-            F.sum(F.when(F.col(pred) == lab, F.col("n")).otherwise(0)).alias("pp"),
-            F.sum(F.when(F.col(y) == lab, F.col("n")).otherwise(0)).alias("sup"))
-        prec = F.when(F.col("pp") == 0, 0.0).otherwise(F.col("tp") / F.col("pp"))
-        rec = F.when(F.col("sup") == 0, 0.0).otherwise(F.col("tp") / F.col("sup"))
-        t = t.select(F.lit(str(lab)).alias("label"), prec.alias("precision"),
-                     rec.alias("recall"), F.col("sup").alias("support"))
-        f1 = F.when(F.col("precision") + F.col("recall") == 0, 0.0).otherwise(
-            2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall")))
-        per.append(t.select("label", "precision", "recall", f1.alias("f1"), "support"))
-    rows = per[0]
-    for r in per[1:]:
-        rows = rows.unionByName(r)
-    n = F.sum("support")
-    macro = rows.agg(F.lit("macro avg").alias("label"), F.avg("precision").alias("precision"),
-                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"), n.alias("support"))
-    wavg = lambda c: F.sum(F.col(c) * F.col("support")) / n
-    weighted = rows.agg(F.lit("weighted avg").alias("label"), wavg("precision").alias("precision"),
-                        wavg("recall").alias("recall"), wavg("f1").alias("f1"), n.alias("support"))
-    acc = cm.agg(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), (tp / F.sum("n")).alias("f1"),
-                 F.sum("n").alias("support"))
-    return rows.unionByName(acc).unionByName(macro).unionByName(weighted)
+    for i in range(len(labels)):
+        tp, pp, sup = (F.col(f"{k}{i}") for k in ("tp", "pp", "sup"))
+        prec, rec = share(tp, pp), share(tp, sup)
+        per.append((prec, rec, share(2 * prec * rec, prec + rec), sup))
+    n = F.col("total")
+    none = F.lit(None).cast("double")
+    macro = [sum((r[k] for r in per), F.lit(0.0)) / len(per) for k in range(3)]
+    weighted = [sum((r[k] * r[3] for r in per), F.lit(0.0)) / n for k in range(3)]
+    return one.select(F.inline(F.array(
+        *[row(str(lab), *r) for lab, r in zip(labels, per)],
+        row("accuracy", none, none, F.col("hits") / n, n),
+        row("macro avg", *macro, n), row("weighted avg", *weighted, n))))
 
 
 def mse(df: DataFrame, y: str = "y", pred: str = "y_pred") -> DataFrame:

@@ -85,6 +85,25 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features",
     return v
 
 
+VECTOR = "_tbx_features"
+
+
+def vectorise(df: DataFrame, features: Sequence[str], keep: Sequence[str],
+              categorical: dict[str, int] | None = None) -> DataFrame:
+    """``keep`` columns and the assembled feature vector, written once.  Fits and scores use
+    the vector of such a frame instead of assembling the features again, so folds, seeds and
+    trials share one assembly."""
+    v = assemble(df.select(*keep, *features), features, VECTOR, categorical)
+    return materialize(v.select(*keep, VECTOR))
+
+
+def _training(df: DataFrame, cols: Sequence[str], features: Sequence[str],
+              categorical: dict[str, int] | None) -> DataFrame:
+    if VECTOR in df.columns:
+        return df.select(*cols, VECTOR)
+    return assemble(df.select(*cols, *features), features, VECTOR, categorical)
+
+
 def categorical_arity(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     """Number of levels of code columns (max code + 1), one aggregate row."""
     r = df.agg(*[F.max(c).alias(c) for c in cols]).first()
@@ -114,7 +133,7 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
     if internal_val:
         d = holdout(d, internal_val, seed=cfg.seed, id_col=id_col, name="_tbx_val")
         val_col = "_tbx_val"
-    kw = dict(labelCol=label, featuresCol="features", maxIter=cfg.max_iter,
+    kw = dict(labelCol=label, featuresCol=VECTOR, maxIter=cfg.max_iter,
               stepSize=cfg.step_size, maxDepth=cfg.max_depth,
               minInstancesPerNode=cfg.min_instances, subsamplingRate=cfg.subsampling_rate,
               featureSubsetStrategy=cfg.feature_subset, minInfoGain=cfg.min_info_gain,
@@ -128,8 +147,7 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
     checkpoint_dir(df.sparkSession)  # MLlib checkpointInterval needs the shared folder
     est = GBTClassifier(**kw)
     cols = [label] + ([weight] if weight else []) + ([val_col] if val_col else [])
-    data = assemble(d.select(*cols, *features), features, categorical=categorical)
-    return Fitted(est.fit(data), list(features), "gbt", {"categorical": categorical or {}})
+    return Fitted(est.fit(_training(d, cols, features, categorical)), list(features), "gbt", {"categorical": categorical or {}})
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
@@ -138,7 +156,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
     """Randomised tree ensemble without bootstrap (thresholds are best splits, not
     random: no extra-trees learner in MLlib).  MLlib allows a depth of at most 30 and
     raises beyond."""
-    kw = dict(labelCol=label, featuresCol="features", numTrees=cfg.num_trees,
+    kw = dict(labelCol=label, featuresCol=VECTOR, numTrees=cfg.num_trees,
               maxDepth=cfg.max_depth, minInstancesPerNode=cfg.min_instances,
               featureSubsetStrategy="sqrt" if cfg.feature_subset == "all" else cfg.feature_subset,
               bootstrap=cfg.bootstrap, maxBins=_bins(cfg, categorical), seed=cfg.seed,
@@ -146,7 +164,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
     if weight:
         kw["weightCol"] = weight
     cols = [label] + ([weight] if weight else [])
-    data = assemble(df.select(*cols, *features), features, categorical=categorical)
+    data = _training(df, cols, features, categorical)
     checkpoint_dir(df.sparkSession)
     return Fitted(RandomForestClassifier(**kw).fit(data), list(features), "forest",
                   {"categorical": categorical or {}})
@@ -155,8 +173,7 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
           hard: bool = False, threshold: float = 0.5) -> DataFrame:
     """Probability of class 1 (and ``y_pred = p > threshold`` when ``hard``)."""
-    data = assemble(df.select(*keep, *fitted.features), fitted.features,
-                    categorical=fitted.extra.get("categorical"))
+    data = _training(df, keep, fitted.features, fitted.extra.get("categorical"))
     out = fitted.model.transform(data).select(
         *keep, vector_to_array("probability")[1].alias("p"))
     if hard:
@@ -178,21 +195,29 @@ FitFn = Callable[[DataFrame], Fitted]
 
 def oof(df: DataFrame, fit: FitFn, k: int = 5, seed: int = 42, y: str = "y",
         test: DataFrame | None = None, model: str = "m", id_col: str = "id",
-        parallelism: int | None = None):
+        parallelism: int | None = None, val_col: str | None = None):
     """Out-of-fold scores -- each row scored by the model that did not see it -- and,
     if ``test`` is given, every fold model's test scores.  Returns (oof, test_scores) with
     columns (id, [y,] fold, seed, model, p).  The fold-tagged frame is materialised once
     so that every fold fit reads the same materialised split (a frame that already has a
     ``fold`` column is used as it is).  The k fits are independent Spark jobs and are
     submitted from ``parallelism`` driver threads (default k), as MLlib's own
-    cross-validator does; results do not depend on the order they finish in."""
+    cross-validator does; results do not depend on the order they finish in.
+
+    A frame from :func:`vectorise` is assembled once for all folds.  ``val_col``: ``fit`` gets
+    all rows with that flag on the fold left out, to stop early on it (the flagged rows are
+    not trained on); without it, only the other folds' rows."""
     from concurrent.futures import ThreadPoolExecutor
     if "fold" in df.columns:
         folded = df
     else:
         folded = materialize(kfold(df, k=k, seed=seed, y=y, id_col=id_col))
     with ThreadPoolExecutor(max_workers=max(1, parallelism or k)) as pool:
-        fits = list(pool.map(lambda f: fit(folded.where(F.col("fold") != f)), range(k)))
+        def part(f: int) -> DataFrame:
+            if val_col:
+                return folded.withColumn(val_col, F.col("fold") == f)
+            return folded.where(F.col("fold") != f)
+        fits = list(pool.map(lambda f: fit(part(f)), range(k)))
     parts, tparts = [], []
     for f, fitted in enumerate(fits):
         sc = score(fitted, folded.where(F.col("fold") == f), keep=(id_col, y))

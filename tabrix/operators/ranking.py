@@ -56,6 +56,9 @@ def ordered_prefix(df: DataFrame, order: Sequence, sums: Mapping[str, Column],
     if bucket is None:
         # slices sized from the data: never fewer than the shuffle partitions, never more
         # than ``target`` rows each on average (one counting pass over the input)
+        # one evaluation of the input: it is counted, sampled for the bounds and sliced from
+        # the written copy
+        df = materialize(df)
         counted = df.count()
         n = num_buckets or max(base, -(-counted // target))
         # The range bounds come from a sample seeded by the exchange's RDD id, so two

@@ -16,7 +16,7 @@ from tabrix.operators import explain as X
 from tabrix.operators import models as G
 from tabrix.operators import search as SR
 from tabrix.operators.encoders import MedianImputer
-from tabrix.operators.sampling import holdout
+from tabrix.operators.sampling import holdout, kfold
 from tabrix.operators.schema import split_origin
 from tabrix.plans import recipes as RC
 from tabrix.plans.common import camp, train_test
@@ -115,7 +115,8 @@ def g8(spark, sf):
     """5-fold out-of-fold scores (every train id exactly once); native categories."""
     trf, _, feats = f3_frames(spark, sf)
     ar = cats(trf)
-    sc, _ = G.oof(trf, lambda d: G.fit_gbt(d, feats, QCFG, categorical=ar), k=5, seed=42,
+    folded = G.vectorise(kfold(trf, 5, 42), feats, ["id", "y", "fold"], ar)
+    sc, _ = G.oof(folded, lambda d: G.fit_gbt(d, feats, QCFG, categorical=ar), k=5, seed=42,
                   model="gbt")
     return sc
 
