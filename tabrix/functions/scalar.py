@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -167,23 +168,16 @@ class WidthCut:
         return self.fit_range(r["lo"], r["hi"])
 
     def fit_range(self, lo, hi) -> "WidthCut":
-        import numpy as np
-        mn, mx = float(lo), float(hi)
-        if mn == mx:
-            mn -= CUT_EXTEND * abs(mn) if mn != 0 else CUT_EXTEND
-            mx += CUT_EXTEND * abs(mx) if mx != 0 else CUT_EXTEND
-            edges = np.linspace(mn, mx, self.k + 1, endpoint=True)
+        lo, hi = float(lo), float(hi)
+        if lo == hi:  # a constant column lies in the middle of a small range
+            margin = CUT_EXTEND * (abs(lo) or 1.0)
+            lo, hi = lowest, _ = lo - margin, hi + margin
         else:
-            edges = np.linspace(mn, mx, self.k + 1, endpoint=True)
-            edges[0] -= (mx - mn) * CUT_EXTEND
-        self.edges = [float(e) for e in edges]
-        prec = self.precision
-        for p in range(self.precision, 20):
-            if len({_round_frac(e, p) for e in self.edges}) == len(self.edges):
-                prec = p
-                break
-        br = [_round_frac(e, prec) for e in self.edges]
-        self.labels = [f"({br[i]}, {br[i + 1]}]" for i in range(self.k)]
+            lowest = lo - CUT_EXTEND * (hi - lo)
+        step = (hi - lo) / self.k
+        self.edges = [lowest, *(i * step + lo for i in range(1, self.k)), hi]
+        shown = _shown_edges(self.edges, self.precision)
+        self.labels = [f"({a}, {b}]" for a, b in pairwise(shown)]
         return self
 
     def index(self, c) -> Column:
@@ -196,15 +190,18 @@ class WidthCut:
         return F.element_at(F.array(*[F.lit(x) for x in self.labels]), self.index(c) + 1)
 
 
-def _round_frac(x: float, precision: int):
-    """Edge as printed: ``precision`` decimals, or that many significant decimals when
-    |x| < 1; numpy's half-even ``around``."""
-    import numpy as np
-    if not np.isfinite(x) or x == 0:
-        return x
-    frac, whole = np.modf(x)
-    digits = (-int(np.floor(np.log10(abs(frac)))) - 1 + precision) if whole == 0 else precision
-    return float(np.around(x, digits))
+def _shown_edges(edges: list[float], decimals: int, most: int = 19) -> list[float]:
+    """Edges as labels show them: rounded half to even to ``decimals`` places, not counting
+    zeros right after the point of an edge below one; more places until all differ."""
+    def shown(e: float) -> float:
+        zeros = -math.floor(math.log10(abs(e))) - 1 if 0 < abs(e) < 1 else 0
+        scale = 10.0 ** (decimals + zeros)
+        return round(e * scale) / scale
+
+    texts = [shown(e) for e in edges]
+    if len(set(texts)) == len(edges) or decimals >= most:
+        return texts
+    return _shown_edges(edges, decimals + 1, most)
 
 
 def fitted_min_max(df: DataFrame, c: str) -> tuple[Column, Column]:

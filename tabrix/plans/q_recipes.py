@@ -7,7 +7,7 @@ from tabrix.plans import recipes as RC
 from tabrix.plans.common import SPLIT_SQL, camp, round_doubles, train_test
 from tabrix.plans.oracle_base import with_campaign
 from tabrix.plans.q_encoders import _codes_sql, _freq_sql, _te_sql
-from tabrix.plans.q_scalar import _MONTH_CASE, _edges_sql, _round_frac_sql
+from tabrix.plans.q_scalar import _MONTH_CASE, _edges_sql, _shown_sql
 from tabrix.plans.registry import query
 from tabrix.sources.fixture import CAMPAIGN_COLUMNS, CATEGORICAL
 
@@ -122,8 +122,8 @@ def recipe_f3(spark, sf):
 
 # ----------------------------------------------------------------------------- B / O
 def _b_sql() -> str:
-    lab = ("'(' || CAST(" + _round_frac_sql("a.e") + " AS VARCHAR) || ', ' || CAST("
-           + _round_frac_sql("b2.e") + " AS VARCHAR) || ']'")
+    lab = ("'(' || CAST(" + _shown_sql("a.e") + " AS VARCHAR) || ', ' || CAST("
+           + _shown_sql("b2.e") + " AS VARCHAR) || ']'")
     ctes = [SPLIT_SQL, _edges_sql("age", 16, "train").strip().rstrip(","), f"""
 lab AS (SELECT a.i AS bin, regexp_replace({lab}, '[\\(\\)\\[\\]\\{{\\}}\\:\\"\\,\\.\\s]', '_', 'g') AS label
         FROM ed a JOIN ed b2 ON b2.i = a.i + 1)""", """

@@ -184,18 +184,18 @@ ed{sfx} AS (SELECT i, CASE WHEN i = {k} THEN hi
        FROM mm2{sfx} CROSS JOIN range(0, {k + 1}) t(i))"""
 
 
-def _round_frac_sql(x: str) -> str:
-    frac = f"({x} - trunc({x}))"
-    digits = f"(CASE WHEN trunc({x}) = 0 THEN CAST(-floor(log10(abs({frac}))) AS INTEGER) - 1 + 3 ELSE 3 END)"
-    return (f"(CASE WHEN {x} = 0 THEN {x} ELSE "
-            f"round_even(CAST({x} AS DOUBLE) * pow(10.0, {digits}), 0) / pow(10.0, {digits}) END)")
+def _shown_sql(x: str) -> str:
+    """An edge as labels show it: three places, not counting zeros after the point."""
+    scale = (f"pow(10.0, 3 + CASE WHEN abs({x}) > 0 AND abs({x}) < 1 "
+             f"THEN CAST(-floor(log10(abs({x}))) AS INTEGER) - 1 ELSE 0 END)")
+    return f"(round_even(CAST({x} AS DOUBLE) * {scale}, 0) / {scale})"
 
 
 _M17_SQL = with_campaign(_edges_sql("age", 16).strip().rstrip(","), """
 b AS (SELECT c.id, c.age, CAST(sum(CASE WHEN c.age > ed.e THEN 1 ELSE 0 END) AS INTEGER) - 1 AS bin
       FROM campaign c CROSS JOIN ed GROUP BY c.id, c.age)""", """
-lab AS (SELECT a.i AS bin, '(' || CAST(""" + _round_frac_sql("a.e") + """ AS VARCHAR) || ', ' ||
-               CAST(""" + _round_frac_sql("b2.e") + """ AS VARCHAR) || ']' AS label
+lab AS (SELECT a.i AS bin, '(' || CAST(""" + _shown_sql("a.e") + """ AS VARCHAR) || ', ' ||
+               CAST(""" + _shown_sql("b2.e") + """ AS VARCHAR) || ']' AS label
         FROM ed a JOIN ed b2 ON b2.i = a.i + 1)""") + """
 SELECT b.id, b.age, CASE WHEN b.bin BETWEEN 0 AND 15 THEN b.bin END AS age_bin, lab.label AS age_group,
        regexp_replace(lab.label, '[\\(\\)\\[\\]\\{\\}\\:\\"\\,\\.\\s]', '_', 'g') AS age_group_clean
