@@ -120,30 +120,37 @@ def anchor_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "h long, doc long, at array<long>")
 
 
-_SUFFIX = "grp long, h long, doc long, at long, words binary"
+_SUFFIX = "grp int, doc long, at long, mask long, words binary"
 
 
 def _suffixes(docs: DataFrame, groups: int, window: int) -> DataFrame:
     """Suffixes of the repeated anchors: packed place and the words of its windows.  Windows of
-    long prefixes found later than another in the same task come out with null words."""
+    long prefixes found later than another in the same task come out with null words: ``at`` is
+    then a start and ``mask`` tells which of the 32 windows from there are late."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int, int, bytes | None]] = []
-        first: dict[bytes, tuple[int, int, int]] = {}
+        out: list[tuple[int, int, int, int | None, bytes | None]] = []
+        first: dict[bytes, tuple[int, int]] = {}
+        late: dict[tuple[int, int], int] = {}
 
         def batch() -> pa.RecordBatch:
             cols = zip(*out) if out else [[]] * 5
-            got = pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.binary() if i == 4 else pa.int64()) for i, c in enumerate(cols)],
-                ["grp", "h", "doc", "at", "words"])
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            got = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                             ["grp", "doc", "at", "mask", "words"])
             out.clear()
             return got
 
         def flush() -> None:
-            for w, (doc, start, h) in first.items():
+            for w, (doc, start) in first.items():
                 d = int.from_bytes(hashlib.blake2b(w, digest_size=7).digest())
-                out.append((d % groups, h, doc, start << 16, w))
+                out.append((d % groups, doc, start << 16, None, w))
             first.clear()
 
+        def flush_late() -> None:
+            for (doc, block), mask in late.items():
+                out.append(((doc + block) % groups, doc, block << 5, mask, None))
+            late.clear()
+
         for rows, part in _grouped(batches):
             for doc, found, words in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(),
                                          part):
@@ -154,25 +161,25 @@ def _suffixes(docs: DataFrame, groups: int, window: int) -> DataFrame:
                 begin = [0, *(end[:-1] + 1).tolist()]
                 end = end.tolist()
                 for f in found:
-                    h = f["h"]
                     for x in f["at"]:
                         p, lo, hi = x >> 16, x >> 8 & 255, x & 255
                         if not f["big"]:
-                            out.append((h % groups, h, doc, x,
+                            out.append((f["grp"], doc, x, None,
                                         text[begin[p - hi]:end[p - lo + window - 1]]))
                             continue
                         for s in range(p - hi, p - lo + 1):
                             w = text[begin[s]:end[s + window - 1]]
                             old = first.get(w)
-                            if old is None or (doc, s) < old[:2]:
-                                first[w] = (doc, s, h)
-                            if old is not None and old[:2] != (doc, s):
-                                late = max(old[:2], (doc, s))
-                                out.append((h % groups, h, late[0], late[1] << 16, None))
+                            if old is None or (doc, s) < old:
+                                first[w] = (doc, s)
+                            if old is not None and old != (doc, s):
+                                i, at = max(old, (doc, s))
+                                late[i, at >> 5] = late.get((i, at >> 5), 0) | 1 << (at & 31)
                     if len(first) >= FLUSH:
                         flush()
                 if len(out) >= 50_000:
                     yield batch()
+            flush_late()
         flush()
         yield batch()
 
@@ -228,11 +235,10 @@ def _tree(table: pa.Table, window: int) -> pa.Table:
     mask = np.zeros(len(doc), np.int64)
     np.bitwise_or.at(mask, row[late], np.int64(1) << offset[late])
     hit = mask != 0
-    old = done["at"].to_numpy() >> 16
     return pa.table({
         "doc": pa.array(np.concatenate((doc[hit], done["doc"].to_numpy()))),
-        "start": pa.array(np.concatenate(((p - hi)[hit], old))),
-        "mask": pa.array(np.concatenate((mask[hit], np.ones(len(old), np.int64))))})
+        "start": pa.array(np.concatenate(((p - hi)[hit], done["at"].to_numpy()))),
+        "mask": pa.array(np.concatenate((mask[hit], done["mask"].to_numpy())))})
 
 
 _RESULT = "n_words long, n_removed long, kept_sha256 string"
@@ -257,7 +263,7 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = max(1, -(-total // GROUP))
     found = (table.join(prefixes, "h")
              .groupBy("doc").agg(F.collect_list(F.struct(
-                 "h", "at", (F.col("n") > GROUP // 4).alias("big"))).alias("found")))
+                 F.pmod("h", F.lit(groups)).cast("int").alias("grp"), "at", (F.col("n") > GROUP // 4).alias("big"))).alias("found")))
     suffixes = _suffixes(src.join(found, "doc"), groups, window)
     gone = (suffixes.groupBy("grp").applyInArrow(
                 lambda t: _tree(t, window), "doc long, start long, mask long")
