@@ -17,7 +17,8 @@ from tabrix.session import get_session
 from tabrix.sources import io
 
 WORKFLOWS = {"onehot-cv": WF.onehot_cv, "encoders-holdout": WF.encoders_holdout,
-             "hybrid-ensemble": WF.hybrid_ensemble}
+             "hybrid-ensemble": WF.hybrid_ensemble, "balanced": WF.balanced,
+             "trial": WF.trial}
 
 
 def _test_schema() -> StructType:

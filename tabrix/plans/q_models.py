@@ -287,6 +287,33 @@ def wf_hybrid_ensemble(spark, sf):
     return spark.read.schema("id long, y double").option("header", True).csv(out)
 
 
+@query("wf_balanced")
+def wf_balanced(spark, sf):
+    """Balanced lifecycle: undersampled classes, one-hot features, holdout search and refit,
+    F1 threshold; the submission with probabilities (read back)."""
+    from tabrix.plans import workflows as WF
+    from tabrix.sources import io
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+    tr, te = train_test(spark, sf)
+    out = io.scratch_path(spark, "wf_balanced")
+    WF.balanced(tr.select(*CAMPAIGN_COLUMNS), te, out, _wf_budget())
+    return spark.read.schema("id long, y_proba double, y_pred int").option("header", True).csv(
+        f"{out}_with_proba")
+
+
+@query("wf_trial")
+def wf_trial(spark, sf):
+    """Trial lifecycle: fitted encoders with interactions, plain holdout, error search, refit;
+    hard-class submission (read back)."""
+    from tabrix.plans import workflows as WF
+    from tabrix.sources import io
+    from tabrix.sources.fixture import CAMPAIGN_COLUMNS
+    tr, te = train_test(spark, sf)
+    out = io.scratch_path(spark, "wf_trial")
+    WF.trial(tr.select(*CAMPAIGN_COLUMNS), te, out, _wf_budget())
+    return spark.read.schema("id long, y int").csv(out)
+
+
 @query("g13_param_search_error")
 def g13_error(spark, sf):
     """G13 with the hard-label error objective (mean squared error of 0/1 predictions on a

@@ -214,6 +214,19 @@ def recipe_l(spark, sf):
     return round_doubles(fitted.transform(te))
 
 
+@query("recipe_l_reloaded", _l_sql(False))
+def recipe_l_reloaded(spark, sf):
+    """``recipe_l`` with its encoders saved as parquet and loaded again."""
+    from tabrix.operators.persist import load, save
+    from tabrix.sources.io import scratch_path
+    tr, te = train_test(spark, sf)
+    fitted = RC.fit_recipe_l(tr.select(*CAMPAIGN_COLUMNS), sentinel=-1, interactions=False)
+    path = scratch_path(spark, "recipe_l_state")
+    save(fitted.encoders, path, spark)
+    fitted.encoders = load(spark, path)
+    return round_doubles(fitted.transform(te))
+
+
 @query("recipe_t", _l_sql(True))
 def recipe_t(spark, sf):
     """Same with interaction categories (13 encoded columns, month kept)."""
