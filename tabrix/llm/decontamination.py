@@ -2,14 +2,19 @@
 passage of the training documents with block-max WAND.
 
 Items are ordered by length and put into classes of similar length and blocks of a few items.
-A class's passages are overlapping windows of twice its longest item's words, one per longest
-item's words, so that any occurrence of an item lies within one passage.  Impacts are divided
+A class's passages are overlapping windows of two steps, one per step.  A step is the longest
+item's words and a margin of a quarter, so that any occurrence of an item, also one with that
+many words inserted, lies within one passage.  Impacts are divided
 by the item's score against itself, so scores lie between 0 and 1 and one threshold serves
 items of any length.  Block maxima bound the scores of a block's items for all passages of a
 batch at once; a block that may reach the threshold is searched document at a time.  All items
-at or above the threshold are retrieved and verified: at least ``overlap`` of the five-word
-shingles of the item's question and of its answer must occur in the passage.  The question is
-the text before its last sentence and the answer that sentence; a text of one sentence is halved.
+at or above the threshold are retrieved and verified: at least ``overlap`` of the shingles of
+the item's question and of its answer must occur in the passage.  The question is the text
+before its last sentence and the answer that sentence; a text of one sentence is halved.
+Shingles have five words, in short parts as many fewer as it takes that no single altered word
+costs the part more than it may lose.  Where one word of a part is too much even word by word,
+the shingles of both parts are judged together; where it is too much for the whole item (fewer
+than five words), all of it must occur.
 
 The items are indexed in shards of at most ``SHARD_BYTES`` of text, each with its own corpus
 statistics; a shard's text is bounded and goes to every task of one pass over the documents.
@@ -23,7 +28,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import chain, repeat
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,15 +69,47 @@ def shingles(w: list[bytes], k: int = SHINGLE) -> set[tuple[bytes, ...]]:
     return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))}
 
 
+def tolerant_shingles(parts: list[list[bytes]], overlap: float) -> set[tuple[bytes, ...]] | None:
+    """Shingles of all parts, at the greatest length up to SHINGLE at which any one altered word
+    leaves ``overlap`` of them; None if there is no such length."""
+    for k in range(SHINGLE, 0, -1):
+        seen: dict[tuple[bytes, ...], tuple[int, int]] = {}  # last start, first end
+        at = 0
+        for w in parts:
+            for i in range(max(1, len(w) - k + 1) if w else 0):
+                g = tuple(w[i:i + k])
+                seen[g] = at + i, seen.get(g, (0, at + i + len(g)))[1]
+            at += len(w)
+        lost = [0] * (at + 1)  # shingles that every occurrence of has this word in
+        for last, end in seen.values():
+            if last < end:
+                lost[last] += 1
+                lost[end] -= 1
+        if max(accumulate(lost)) <= (1 - overlap) * len(seen) + 1e-9:
+            return set(seen)
+    return None
+
+
+def judged(q: list[bytes], a: list[bytes], overlap: float
+           ) -> tuple[set[tuple[bytes, ...]], set[tuple[bytes, ...]]]:
+    """The two sets of shingles of which ``overlap`` must occur."""
+    parts = tolerant_shingles([q], overlap), tolerant_shingles([a], overlap)
+    if parts[0] is not None and parts[1] is not None:
+        return parts
+    whole = tolerant_shingles([q, a], overlap)
+    return (shingles(q), shingles(a)) if whole is None else (whole, whole)
+
+
 class Index:
     """BM25 inverted index with block maxima over items (item_id, text)."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], block: int = BLOCK_ITEMS):
+    def __init__(self, items: Iterable[tuple[int, str]], block: int = BLOCK_ITEMS,
+                 overlap: float = OVERLAP):
         known = [(len(q) + len(a), i, q, a) for i, text in items
                  for q, a in [question_answer(text)] if q or a]
         known.sort()
         self.ids = [i for _, i, _, _ in known]
-        self.parts = [(shingles(q), shingles(a)) for _, _, q, a in known]
+        self.parts = [judged(q, a, overlap) for _, _, q, a in known]
         docs = [Counter(q + a) for _, _, q, a in known]
         df = Counter(t for d in docs for t in d)
         mean = sum(n for n, *_ in known) / max(len(docs), 1)
@@ -82,7 +119,7 @@ class Index:
         self.impacts: list[list[float]] = [[] for _ in range(len(df) + 1)]
         # blocks never cross a class; a class's items are at most twice as long as each other
         self.block_of, self.block_range = [], []
-        self.classes: list[tuple[int, int, int]] = []  # longest item, first and last block
+        self.classes: list[tuple[int, int, int]] = []  # step, first and last block
         for i, (d, (n, *_)) in enumerate(zip(docs, known)):
             size = (n - 1).bit_length()
             new_class = i == 0 or size != (known[i - 1][0] - 1).bit_length()
@@ -102,6 +139,7 @@ class Index:
             for t, x in impact.items():
                 self.docs[self.term[t]].append(i)
                 self.impacts[self.term[t]].append(x / own)
+        self.classes = [(n + max(SHINGLE, -(-n // 4)), b0, b1) for n, b0, b1 in self.classes]
         self.block_max = np.zeros((len(df) + 1, len(self.block_range)), np.float32)
         for t, (where, xs) in enumerate(zip(self.docs, self.impacts)):
             for i, x in zip(where, xs):
@@ -191,27 +229,22 @@ class Index:
                 for doc, score in self.search(distinct.tolist(), threshold,
                                               *self.block_range[b0 + k]):
                     inside = inside or self._inside(texts[o][i:j])
-                    q, a = (len(s & inside[self._k(s)]) / len(s) if s else 1.0
+                    q, a = (len(s & inside) / len(s) if s else 1.0
                             for s in self.parts[doc])
                     if q >= overlap and a >= overlap:
                         out[o, doc] = max(out.get((o, doc), (0.0, 0.0, 0.0)), (score, q, a))
         return out
 
     @staticmethod
-    def _k(s: set[tuple[bytes, ...]]) -> int:
-        return len(next(iter(s)))
-
-    @staticmethod
-    def _inside(w: list[bytes]) -> dict[int, set[tuple[bytes, ...]]]:
-        """Runs of 1 to SHINGLE words of a passage, by length."""
-        return {k: {tuple(w[i:i + k]) for i in range(len(w) - k + 1)}
-                for k in range(1, SHINGLE + 1)}
+    def _inside(w: list[bytes]) -> set[tuple[bytes, ...]]:
+        """Runs of 1 to SHINGLE words of a passage."""
+        return {tuple(w[i:i + k]) for k in range(1, SHINGLE + 1) for i in range(len(w) - k + 1)}
 
 
 @functools.lru_cache(maxsize=2)
-def _index(items: tuple[tuple[int, str], ...]) -> Index:
+def _index(items: tuple[tuple[int, str], ...], overlap: float) -> Index:
     """One index per Python worker and shard."""
-    return Index(items)
+    return Index(items, overlap=overlap)
 
 
 def _shards(items: DataFrame, id_col: str, text_col: str
@@ -244,7 +277,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
     def search(shard: tuple[tuple[int, str], ...]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = _index(shard)
+            index = _index(shard, overlap)
             for b in batches:
                 ids, texts = b.column(0).to_pylist(), b.column(1)
                 out, at, n, group = [], 0, 0, []

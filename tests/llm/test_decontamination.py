@@ -91,3 +91,36 @@ def test_registered_query_equals_brute_force(spark):
     want = brute(common.texts_of(docs).items(), items)
     got = {(r[0], r[1]) for r in QUERIES["op4_benchmark_leaks"](spark, common.SF_SMALL).collect()}
     assert {p for p in got if p[0] < 60} == want
+
+
+def test_one_altered_word_in_any_position_is_found():
+    rng = random.Random(5)
+    items = [(n * 40 + m, ". ".join(common.words(rng, 5000, k) for k in (n, m)) + ".")
+             for n in (4, 5, 9, 14, 31) for m in (1, 2, 3, 5, 8, 12, 20, 35)]
+    index = D.Index(items)
+    texts, want = [], []
+    for i, text in items:
+        w = D.words(text)
+        for at in range(len(w)):
+            copy = [*w[:at], b"altered", *w[at + 1:]]
+            texts.append(D.words(common.words(rng, 9000, at)) + copy + [b"end"] * 40)
+            want.append(i)
+    assert {(o, index.ids[d]) for o, d in index.leaks(texts)} >= set(enumerate(want))
+
+
+def test_other_questions_and_answers_are_no_leak():
+    rng = random.Random(6)
+    q, a, other = (common.words(rng, 10 ** 6, n) for n in (30, 12, 12))
+    index = D.Index([(1, f"{q}. {a}.")])
+    assert len(index.leaks([D.words(f"{q}. {a}.")])) == 1
+    assert not index.leaks([D.words(f"{q}. {other}."), D.words(f"{q}."), D.words(f"{a}.")])
+
+
+def test_inserted_words_at_any_place_of_the_text():
+    rng = random.Random(7)
+    w = D.words(common.words(rng, 10 ** 6, 60))
+    index = D.Index([(1, " ".join(x.decode() for x in w[:30]) + ". "
+                      + " ".join(x.decode() for x in w[30:]))])
+    copy = w[:10] + [b"more"] * 7 + w[10:45] + [b"words"] * 8 + w[45:]
+    texts = [[b"x"] * k + copy + [b"y"] * 90 for k in range(150)]
+    assert len(index.leaks(texts)) == len(texts)
