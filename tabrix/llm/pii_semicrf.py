@@ -7,30 +7,34 @@ counts and grouping, separators, checksums, neighbours, context word), all else
 time, and a dynamic programme chooses boundaries and types jointly.  Segments whose marginal
 probability reaches ``min_confidence`` and that overlap no base span are added.
 
-The model is trained on a bounded sample of texts (``max_docs``, smallest hashes of the id):
-their base spans, written variants of them (other separators, spelt-out marks, no country
-prefix) and numbers that are no personal data, by gradient ascent on the log-likelihood.
+The model is trained on stretches of all texts: at most ``MAX_REGIONS`` different ones for each
+kind of base span and as many without any, those of the smallest hashes, and at most
+``PER_TEXT`` of each from one text.  Base spans, written variants of them (other separators,
+spelt-out marks, no country prefix) and numbers that are no personal data are learnt by gradient
+ascent on the log-likelihood.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import math
 import random
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 26
 REACH = 48
-MAX_DOCS = 1500
 MAX_REGIONS = 240
+PER_TEXT = 3
+MAX_STRETCH = 600
 MIN_CONFIDENCE = 0.95
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -279,25 +283,91 @@ def others(rng: random.Random) -> list[str]:
             f"#{r(1000, 99999)} {r(1, 999)} {r(1, 999)} {r(1, 999)}", f"{r(1, 99)} @ {r(1, 99)}"]
 
 
-def train(texts: list[str], max_regions: int = MAX_REGIONS, epochs: int = 4,
-          rate: float = 0.5, l2: float = 1e-3) -> dict[str, float]:
-    """Weights of the field from at most ``max_regions`` regions of ``texts``; without any base
-    span in them the weights are empty and nothing is added."""
+Example = tuple[str, tuple[Span, ...]]
+
+
+def _order(example: Example) -> int:
+    """Place of a stretch in the order of choice: a hash of its content."""
+    return int.from_bytes(hashlib.blake2b(repr(example).encode("utf-8", "surrogatepass"),
+                                          digest_size=8).digest(), "big", signed=True)
+
+
+def stretches(text: str) -> Iterator[Example]:
+    """Regions with their base spans; those beyond ``MAX_STRETCH`` characters in pieces that
+    cut no base span.  Of overlapping base spans the first counts."""
+    gold: list[Span] = []
+    for s in sorted(base_spans(text), key=lambda s: (s[1], s[0])):
+        if not gold or s[1] >= gold[-1][2]:
+            gold.append(s)
+    at = 0
+    for a, end in regions(text):
+        while a < end:
+            b = min(end, a + MAX_STRETCH)
+            if b < end and (space := text.rfind(" ", a + MAX_STRETCH // 2, b)) >= 0:
+                b = space
+            while at < len(gold) and gold[at][1] < a:
+                at += 1
+            last = at
+            while last < len(gold) and gold[last][1] < b:
+                b = max(b, gold[last][2])
+                last += 1
+            # a cut at an earlier region's span or a very long span: no example
+            if b - a <= 2 * MAX_STRETCH and not (at and gold[at - 1][2] > a):
+                yield text[a:b], tuple((k, x - a, y - a) for k, x, y in gold[at:last])
+            a = b
+
+
+class Choice:
+    """The ``n`` different stretches of the smallest hashes for each kind of span that is in
+    them, and for those without any (kind -1)."""
+
+    def __init__(self, n: int):
+        self.n = n
+        self.best: dict[int, dict[int, Example]] = {}
+        self.heap: dict[int, list[int]] = {}
+
+    def add(self, kind: int, order: int, example: Example) -> None:
+        best, heap = self.best.setdefault(kind, {}), self.heap.setdefault(kind, [])
+        if order in best or len(best) >= self.n and order > -heap[0]:
+            return
+        best[order] = example
+        heapq.heappush(heap, -order)
+        if len(heap) > self.n:
+            del best[-heapq.heappop(heap)]
+
+    def add_text(self, text: str) -> None:
+        own = Choice(PER_TEXT)
+        for example in stretches(text):
+            order = _order(example)
+            for k in {k for k, *_ in example[1]} or {-1}:
+                own.add(k, order, example)
+        for k, order, e in own.rows():
+            self.add(k, order, e)
+
+    def rows(self) -> Iterator[tuple[int, int, Example]]:
+        for k in sorted(self.best):
+            for order in sorted(self.best[k]):
+                yield k, order, self.best[k][order]
+
+
+def train(texts: list[str], max_regions: int = MAX_REGIONS, **options) -> dict[str, float]:
+    """Weights of the field from at most ``max_regions`` stretches of ``texts`` for each kind
+    and as many without a base span."""
+    choice = Choice(max_regions)
+    for t in texts:
+        choice.add_text(t)
+    return train_on({order: e for _, order, e in choice.rows()}.values(), **options)
+
+
+def train_on(chosen: Iterable[Example], epochs: int = 4, rate: float = 0.5,
+             l2: float = 1e-3) -> dict[str, float]:
+    """Weights of the field from stretches and their variants; without any base span in them
+    the weights are empty and nothing is added."""
     rng = random.Random(11)
     examples: list[tuple[str, list[Span]]] = []
-    for t in texts:
-        gold = base_spans(t)
-        for a, b in regions(t):
-            here = [(k, x - a, y - a) for k, x, y in gold if a <= x and y <= b]
-            part = t[a:b]
-            if len(examples) >= 6 * max_regions or any(
-                    x < b and y > a and not (a <= x and y <= b) for _, x, y in gold):
-                continue
-            clash = any(p[1] < q[2] and q[1] < p[2] for p in here for q in here if p is not q)
-            examples.append((part, here if not clash else here[:1]))
-            if len(here) != 1:
-                continue
-            k, x, y = here[0]
+    for part, gold in chosen:
+        examples.append((part, list(gold)))
+        for k, x, y in gold[:1] if len(gold) == 1 else ():
             choice = [(v, True) for v in variants(k, part[x:y], rng)]
             choice += [(v, False) for v in rng.sample(others(rng), 3)]
             for v, good in choice:
@@ -307,7 +377,7 @@ def train(texts: list[str], max_regions: int = MAX_REGIONS, epochs: int = 4,
     if not kinds:
         return {}
     data = []
-    for part, gold in examples[:6 * max_regions]:
+    for part, gold in examples:
         lat = Lattice(part, 0, len(part))
         data.append((lat, {(k, x, y) for k, x, y in gold}))
     w: dict[str, float] = {}
@@ -355,21 +425,37 @@ def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
+_EXAMPLE = "kind int, place long, part string, gold string"
+
+
 def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            max_docs: int = MAX_DOCS) -> dict[str, float]:
-    """Train on at most ``max_docs`` texts; null ids and texts are left out of the sample."""
-    rows = docs.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t"))
-    pick = (rows.select("_i").filter("_i is not null").distinct()
-            .orderBy(F.xxhash64("_i"), "_i").limit(max_docs))
-    sample = (rows.filter("_t is not null").join(F.broadcast(pick), "_i")
-              .groupBy("_i").agg(F.min("_t").alias("_t")))
+            max_regions: int = MAX_REGIONS) -> dict[str, float]:
+    """Train on stretches of all texts, at most ``max_regions`` for each kind of base span and as
+    many without any; each task passes on no more than that, and the choice depends on the
+    texts' content only (ids are not read).  Null texts have none."""
+    names = [f.split()[0] for f in _EXAMPLE.split(", ")]
+    types = [pa.int32(), pa.int64(), pa.string(), pa.string()]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        choice = Choice(max_regions)
+        for b in batches:
+            for t in b.column(0):
+                choice.add_text(t.as_py())
+        rows = [(k, order, part, json.dumps(gold)) for k, order, (part, gold) in choice.rows()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], types[i]) for i in range(len(types))], names)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = sorted((i.as_py(), t.as_py()) for b in it for i, t in zip(b.column(0), b.column(1)))
-        w = train([t for _, t in got])
+        got = sorted(tuple(x.as_py() for x in r) for b in it for r in zip(*b.columns))
+        w = train_on({order: (part, tuple(tuple(g) for g in json.loads(gold)))
+                      for _, order, part, gold in got}.values())
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(w)])], ["model"])
 
-    got = sample.coalesce(1).mapInArrow(run, "model string").first()
+    chosen = (docs.select(F.col(text_col).cast("string").alias("t")).filter("t is not null")
+              .mapInArrow(choose, _EXAMPLE).dropDuplicates(["kind", "place"])
+              .withColumn("n", F.row_number().over(Window.partitionBy("kind").orderBy("place")))
+              .filter(F.col("n") <= max_regions).drop("n"))
+    got = chosen.coalesce(1).mapInArrow(run, "model string").first()
     return json.loads(got["model"]) if got else {}
 
 
@@ -402,12 +488,12 @@ def pii_columns(text: Column, w: dict[str, float],
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             max_docs: int = MAX_DOCS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+             max_regions: int = MAX_REGIONS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``docs`` with n_email, n_ip, n_card, n_phone, base_sha256 and spans.
 
     Every row is searched whole, repeated rows and null ids too; columns of ``docs`` with one
     of these names (in any case) are replaced, all others pass unchanged."""
-    w = fit_pii(docs, id_col, text_col, max_docs)
+    w = fit_pii(docs, id_col, text_col, max_regions)
     new = [f.name for f in _FOUND.fields]
     keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
     return (docs.select(*keep, pii_columns(F.col(text_col), w, min_confidence).alias("_pii"))

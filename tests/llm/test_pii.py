@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 
 import pytest
@@ -105,3 +106,52 @@ def test_awkward_rows(spark):
     assert len(rows) == docs.count()
     assert [r["n_email"] for r in rows if r["doc_id"] == 60] == [3]
     assert S.find_pii(common.empty(spark)).count() == 0
+
+
+def planted(rng):
+    """One base span of each kind."""
+    def n(k):
+        return "".join(str(rng.randrange(10)) for _ in range(k))
+    card = next(c for c in iter(lambda: "4" + n(15), None) if S.luhn(c))
+    return (f"ann.{rng.choice(("lee", "day", "fox"))}{n(2)}@host.com", ".".join(str(rng.randrange(1, 255)) for _ in range(4)),
+            card, f"+1 {rng.randrange(200, 999)} {rng.randrange(200, 999)} {n(4)}")
+
+
+def test_registered_query_learns_from_all_texts(spark, tmp_path):
+    from tabrix.llm.queries import QUERIES
+    rng = random.Random(4)
+    filler = "nothing of note is said in this place " * 4
+    texts = ["".join(f"{filler}{rng.randrange(10 ** 6)} " for _ in range(150)) for _ in range(12)]
+    texts += [f"{filler}see {s} there" for _ in range(60) for s in planted(rng)]
+    new = ["ann.lee [at] example [dot] com", "10[.]20[.]30[.]40", "4111/1111/1111/1111",
+           "(521) 555-6210"]
+    texts += [f"{filler}see {s} there" for s in new]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["spans"] for r in QUERIES["op9_personal_data"](
+        spark, str(tmp_path)).collect()}
+    at = len(filler) + 4
+    assert [got[len(texts) - 4 + k] for k in range(4)] == [
+        f"{S.KINDS[k]}:{at}:{at + len(new[k])}" for k in range(4)]
+
+
+def test_choice_is_bounded_and_independent_of_order():
+    rng = random.Random(8)
+    texts = [f"see {s} " + "and so on " * 12 + str(i) for i in range(40) for s in planted(rng)]
+    texts += ["1 " * 5000, "no " * 60 + "2@ " + "a b " * 9, "\ud800 3"]
+    long = "".join(f"{'so it is ' * 12}{i} " for i in range(500))
+    some = []
+    for order in (texts + [long], [long] + texts[::-1]):
+        choice = S.Choice(9)
+        for t in order:
+            choice.add_text(t)
+        some.append(list(choice.rows()))
+    assert some[0] == some[1]
+    assert [sum(k == x for k, *_ in some[0]) for x in range(-1, 4)] == [9] * 5
+    one = S.Choice(100)
+    one.add_text(long)
+    assert len(list(one.rows())) == S.PER_TEXT
+    for t in texts:
+        for part, gold in S.stretches(t):
+            assert len(part) <= 2 * S.MAX_STRETCH
+            assert set(gold) <= set(S.base_spans(part))
