@@ -26,10 +26,11 @@ MISSING = -999.0  # fixed fill for missing feature values before vector assembly
 class TreeConfig:
     """Boosted-tree / forest settings (MLlib names).  Reference knobs map as
     rounds->max_iter, learning rate->step_size, depth->max_depth, min child->min_instances,
-    row fraction->subsampling_rate, column fraction->feature_subset, split gain->min_info_gain."""
-    max_iter: int = 20
+    row fraction->subsampling_rate, column fraction->feature_subset, split gain->min_info_gain.
+    Rounds, depth and trees are the reference's by default."""
+    max_iter: int = 1000
     step_size: float = 0.1
-    max_depth: int = 5
+    max_depth: int = 8
     min_instances: int = 1
     subsampling_rate: float = 1.0
     feature_subset: str = "all"
@@ -37,7 +38,7 @@ class TreeConfig:
     max_bins: int = 64
     seed: int = 42
     validation_tol: float = 0.01
-    num_trees: int = 50          # forests only
+    num_trees: int = 500         # forests only
     bootstrap: bool = False      # forests only
 
     def with_params(self, **kw) -> "TreeConfig":

@@ -33,11 +33,11 @@ def main(argv=None) -> dict:
     ap.add_argument("--out", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--master")
-    ap.add_argument("--trials", type=int, default=50)
+    ap.add_argument("--trials", type=int, help="default: the reference's")
     ap.add_argument("--folds", type=int, default=5)
-    ap.add_argument("--rounds", type=int, default=200)
-    ap.add_argument("--depth", type=int, default=6)
-    ap.add_argument("--forest-trees", type=int, default=100)
+    ap.add_argument("--rounds", type=int, help="default: the reference's")
+    ap.add_argument("--depth", type=int, default=8)
+    ap.add_argument("--forest-trees", type=int, default=500)
     ap.add_argument("--holdout-rows", type=int, default=2000)
     ap.add_argument("--holdout-id-base", type=int, default=30000)
     a = ap.parse_args(argv)
