@@ -160,3 +160,39 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at cosine >= 0.93 within a label, their components and what is kept."""
     from tabrix.llm.lattice_dedup import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+_OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike,
+         CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS i
+        FROM s WHERE alike) WHERE i <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS i
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(i AS INTEGER) AS rank, negative_id, positive_score,
+       negative_score
+FROM n WHERE i <= 3
+"""
+
+
+@_query("op11_hard_negatives", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector for each of its five nearest of the same label."""
+    from tabrix.llm.hard_negatives import hard_negatives
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0,
+                          label=label)
