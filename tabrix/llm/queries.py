@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import corpus_pipeline
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,18 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0,
                           label=label)
+
+
+@_query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among all words of the texts: every 97th run (by its crc32 with the
+    document's id) has lost a letter."""
+    from tabrix.llm.spelling import spelling_forms, word_counts
+
+    def variant(doc: Column, run: Column) -> Column:
+        h = F.crc32(F.concat(doc.cast("string"), F.lit(":"), run))
+        at = (h % F.length(run)).cast("int")
+        short = F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))
+        return F.when(h % 97 == 0, short)
+
+    return spelling_forms(word_counts(_table(spark, sf_dir, "documents"), variant=variant))
