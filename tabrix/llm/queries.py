@@ -211,3 +211,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.when(h % 97 == 0, short)
 
     return spelling_forms(word_counts(_table(spark, sf_dir, "documents"), variant=variant))
+
+
+@_query("op13_main_text")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every web page by two-pass block rules."""
+    from tabrix.llm.html_extract import extract_pages
+    return extract_pages(_table(spark, sf_dir, "pages"))
