@@ -17,10 +17,13 @@ from tabrix.operators.ranking import ordered_prefix
 from tabrix.session import materialize
 
 
-def auc(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
+def auc(scores: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (),
+        bucket: Column | None = None) -> DataFrame:
     """V1: exact ROC AUC (Mann-Whitney; tied scores count one half), per ``by`` group.
-    A group with a single class gets NULL.  Rows without label or score do not count."""
-    return _auc_of_counts(_score_counts(scores, y, p, by), p, by)
+    A group with a single class gets NULL.  Rows without label or score do not count.
+    ``bucket``: slices of the order, see :func:`ordered_prefix`; by default they are taken
+    from the data."""
+    return _auc_of_counts(_score_counts(scores, y, p, by), p, by, bucket)
 
 
 def _score_counts(scores: DataFrame, y: str, p: str, by: Sequence[str]) -> DataFrame:
@@ -29,9 +32,10 @@ def _score_counts(scores: DataFrame, y: str, p: str, by: Sequence[str]) -> DataF
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("double").alias("_neg"))
 
 
-def _auc_of_counts(g: DataFrame, p: str, by: Sequence[str]) -> DataFrame:
+def _auc_of_counts(g: DataFrame, p: str, by: Sequence[str],
+                   bucket: Column | None = None) -> DataFrame:
     by = list(by)
-    cum = ordered_prefix(g, [p], {"_cneg": F.col("_neg")}, by=by)
+    cum = ordered_prefix(g, [p], {"_cneg": F.col("_neg")}, by=by, bucket=bucket)
     part = F.col("_pos") * (F.col("_cneg") - F.col("_neg") + F.col("_neg") * 0.5)
     return cum.groupBy(*by).agg(
         F.try_divide(F.sum(part), F.sum("_pos") * F.sum("_neg")).alias("auc"))
