@@ -136,9 +136,10 @@ def bin_edges(df: DataFrame, features: Sequence[str], categorical: dict[str, int
     if not numbers:
         return [none for _ in features]
     share = [i / (max_bins - 1) for i in range(1, max_bins - 1)]
-    value = {c: F.col(f"`{c}`").cast("double") for c in numbers}
-    row = df.agg(*[F.percentile_approx(F.when(~F.isnan(v), v), share, 10_000).alias(f"q{i}")
-                   for i, v in enumerate(value.values())]).first()
+    value = df.select(*doubles(df, numbers))
+    at = f"array({', '.join(f'{q!r}D' for q in share)})"
+    row = value.agg(*[F.expr(f"percentile_approx(nullif(f{i}, double('nan')), {at}, 10000)")
+                      .alias(f"q{i}") for i in range(len(numbers))]).first()
     found = {c: np.unique(np.array(row[f"q{i}"] or [], float)) for i, c in enumerate(numbers)}
     return [found.get(c, none) for c in features]
 
@@ -434,58 +435,73 @@ class _Finder:
         self.number = np.flatnonzero(~is_category)
         self.category = np.flatnonzero(is_category)
 
-    def best(self, h: np.ndarray, use: np.ndarray, cfg: BoostConfig) -> Split | None:
-        grid = np.concatenate((h, np.zeros((1, 3), np.int64)))[self.at]
-        found = [x for x in (self._numbers(grid, np.intersect1d(self.number, use), cfg),
-                             self._categories(grid, np.intersect1d(self.category, use), cfg)) if x]
-        return min(found, key=lambda s: (-s.gain, s.feature), default=None)
+    def best(self, h: np.ndarray, use: np.ndarray, cfg: BoostConfig) -> list[Split | None]:
+        """Best split of each node; ``h`` is (nodes, bins of all features, 3)."""
+        sums = np.concatenate((h, np.zeros((len(h), 1, 3), np.int64)), axis=1)
+        number, category = (np.intersect1d(x, use) for x in (self.number, self.category))
+        # missing values have a direction to learn where there are any
+        some = np.array([sums[:, self.at[f, 0], 2].any() for f in number], bool)
+        found = [*self._numbers(sums, number, False, cfg),
+                 *self._numbers(sums, number[some], True, cfg),
+                 *self._categories(sums, category, cfg)]
+        out: list[Split | None] = [None] * len(h)
+        for node, s in found:
+            t = out[node]
+            if t is None or (-s.gain, s.feature, s.threshold) < (-t.gain, t.feature, t.threshold):
+                out[node] = s
+        return out
 
-    def _gain(self, left: np.ndarray, total: np.ndarray, cfg: BoostConfig) -> np.ndarray:
-        """Gain of every cut, -inf where it is not allowed; ``total`` has one entry a feature."""
-        right = total[:, None] - left
+    def _cuts(self, low: tuple, total: np.ndarray, cfg: BoostConfig
+              ) -> tuple[np.ndarray, np.ndarray]:
+        """(gain, position) of the best cut of each node, -inf where none is allowed.  ``low``:
+        sums left of each cut, (nodes, features, cuts) each; total: (nodes, 3)."""
         u = self.unit
-        (gl, hl, cl), (gr, hr, cr) = (np.moveaxis(x, -1, 0) for x in (left, right))
-        ok = ((np.minimum(cl, cr) >= max(1, cfg.min_rows))
-              & (np.minimum(hl, hr) * u >= cfg.min_hessian))
-        whole = leaf_score(total[:, 0] * u, total[:, 1] * u, cfg)
-        gain = leaf_score(gl * u, hl * u, cfg) + leaf_score(gr * u, hr * u, cfg) - whole[:, None]
-        return np.where(ok & (gain > max(cfg.min_gain, 1e-9)), gain, -np.inf)
-
-    def _numbers(self, grid: np.ndarray, use: np.ndarray, cfg: BoostConfig) -> Split | None:
+        g, h, c = (x.astype(float) for x in low)
+        whole = total.astype(float)[:, :, None, None]
+        rg, rh, rc = whole[:, 0] - g, whole[:, 1] - h, whole[:, 2] - c
+        ok = np.minimum(c, rc) >= max(1, cfg.min_rows)
+        ok &= np.minimum(h, rh) * u >= cfg.min_hessian
+        gain = leaf_score(g * u, h * u, cfg) + leaf_score(rg * u, rh * u, cfg)
+        gain -= leaf_score(whole[:, 0] * u, whole[:, 1] * u, cfg)
+        ok &= gain > max(cfg.min_gain, 1e-9)
+        gain = np.where(ok, gain, -np.inf).reshape(len(total), -1)
+        at = gain.argmax(1)
+        return gain[np.arange(len(gain)), at], at
+
+    def _numbers(self, sums: np.ndarray, use: np.ndarray, missing_left: bool, cfg: BoostConfig
+                 ) -> Iterator[tuple[int, Split]]:
         if not len(use):
-            return None
-        x = grid[use]
-        total, missing = x.sum(1), x[:, :1]
-        low = np.cumsum(x[:, 1:], axis=1)
-        both = np.stack((low, low + missing), axis=2)  # missing values right, left
-        shape = both.shape[:3]
-        gain = self._gain(both.reshape(len(use), -1, 3), total, cfg).reshape(shape)
-        i, b, side = np.unravel_index(int(gain.argmax()), shape)
-        if gain[i, b, side] == -np.inf:
-            return None
-        left = both[i, b, side]
-        right = total[i] - left
-        # without missing values here, later ones go with the larger part
-        go = bool(side) if missing[i, 0, 2] else bool(left[2] >= right[2])
-        return Split(float(gain[i, b, side]), int(use[i]), int(b) + 1, go, None,
-                     tuple(left.tolist()), tuple(right.tolist()))
-
-    def _categories(self, grid: np.ndarray, use: np.ndarray, cfg: BoostConfig) -> Split | None:
+            return
+        x = [sums[:, self.at[use], i] for i in range(3)]
+        total = np.stack([v[:, 0].sum(1) for v in x], axis=1)
+        low = [np.cumsum(v[:, :, 1:], axis=2) for v in x]
+        if missing_left:
+            low = [c + v[:, :, :1] for c, v in zip(low, x)]
+        gain, at = self._cuts(tuple(low), total, cfg)
+        for n in np.flatnonzero(gain > -np.inf).tolist():
+            i, b = divmod(int(at[n]), low[0].shape[2])
+            left = tuple(int(v[n, i, b]) for v in low)
+            right = tuple(int(t) - v for t, v in zip(total[n], left))
+            # without missing values here, later ones go with the larger part
+            go = missing_left if x[2][n, i, 0] else left[2] >= right[2]
+            yield n, Split(float(gain[n]), int(use[i]), b + 1, go, None, left, right)
+
+    def _categories(self, sums: np.ndarray, use: np.ndarray, cfg: BoostConfig
+                    ) -> Iterator[tuple[int, Split]]:
         if not len(use):
-            return None
-        x = grid[use]
-        total = x.sum(1)
-        with np.errstate(invalid="ignore"):
-            rate = x[:, :, 0] * self.unit / (x[:, :, 1] * self.unit + CATEGORY_SMOOTHING)
-        order = np.argsort(np.where(x[:, :, 2] > 0, rate, np.inf), axis=1, kind="stable")
-        low = np.cumsum(np.take_along_axis(x, order[:, :, None], 1), axis=1)
-        gain = self._gain(low, total, cfg)
-        i, b = np.unravel_index(int(gain.argmax()), gain.shape)
-        if gain[i, b] == -np.inf:
-            return None
-        members = tuple(sorted(order[i, :b + 1].tolist()))
-        return Split(float(gain[i, b]), int(use[i]), -1, False, members,
-                     tuple(low[i, b].tolist()), tuple((total[i] - low[i, b]).tolist()))
+            return
+        x = [sums[:, self.at[use], i] for i in range(3)]
+        total = np.stack([v[:, 0].sum(1) for v in x], axis=1)
+        rate = x[0] * self.unit / (x[1] * self.unit + CATEGORY_SMOOTHING)
+        order = np.argsort(np.where(x[2] > 0, rate, np.inf), axis=2, kind="stable")
+        low = [np.cumsum(np.take_along_axis(v, order, 2), axis=2) for v in x]
+        gain, at = self._cuts(tuple(low), total, cfg)
+        for n in np.flatnonzero(gain > -np.inf).tolist():
+            i, b = divmod(int(at[n]), low[0].shape[2])
+            left = tuple(int(v[n, i, b]) for v in low)
+            right = tuple(int(t) - v for t, v in zip(total[n], left))
+            yield n, Split(float(gain[n]), int(use[i]), -1, False,
+                           tuple(sorted(order[n, i, :b + 1].tolist())), left, right)
 
 
 # ---- growing -------------------------------------------------------------------------
@@ -507,25 +523,33 @@ class _Growing:
         deep = self.cfg.max_depth and self.path[node].bit_length() > self.cfg.max_depth
         return not deep and self.sums[node][2] >= 2 * max(1, self.cfg.min_rows)
 
-    def _know(self, node: int, h: np.ndarray | None) -> None:
-        self.ready[node] = True
-        if h is not None and self._can_split(node):
-            self.split[node] = self.finder.best(h, self.use, self.cfg)
-            if self.split[node] is not None:
-                self.hist[node] = h
-
-    def receive(self, node: int, h: np.ndarray) -> None:
-        parent, sibling = self.wanted.pop(node)
-        if parent < 0:
-            f = int(self.use[0])
-            a, b = self.finder.offset[f], self.finder.offset[f + 1]
-            self.sums[0] = tuple(h[a:b].sum(0).tolist())
-            self._know(0, h)
+    def _know(self, found: list[tuple[int, np.ndarray | None]]) -> None:
+        """Best splits of nodes from their histograms."""
+        able = [(n, h) for n, h in found if h is not None and self._can_split(n)]
+        for n, _ in found:
+            self.ready[n] = True
+        if able:
+            best = self.finder.best(np.stack([h for _, h in able]), self.use, self.cfg)
+            for (n, h), s in zip(able, best):
+                self.split[n] = s
+                if s is not None:
+                    self.hist[n] = h
+
+    def receive(self, got: dict[int, np.ndarray]) -> None:
+        """Histograms of all wanted nodes."""
+        found = []
+        for node, h in got.items():
+            parent, sibling = self.wanted.pop(node)
+            if parent < 0:
+                f = int(self.use[0])
+                a, b = self.finder.offset[f], self.finder.offset[f + 1]
+                self.sums[0] = tuple(h[a:b].sum(0).tolist())
+                found.append((0, h))
+            else:
+                found += [(node, h), (sibling, self.hist.pop(parent) - h)]
+        self._know(found)
+        if got.keys() == {0}:
             self._offer(0)
-        else:
-            self._know(node, h)
-            self._know(sibling, self.hist[parent] - h)
-            del self.hist[parent]
 
     def _offer(self, node: int) -> None:
         if self.split[node] is not None:
@@ -547,8 +571,7 @@ class _Growing:
             small, large = sorted(pair, key=lambda n: (self.sums[n][2], n))
             self.wanted[small] = (node, large)
         else:
-            for n in pair:
-                self._know(n, None)
+            self._know([(n, None) for n in pair])
             del self.hist[node]
 
     def advance(self) -> bool:
@@ -733,8 +756,8 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], roles:
                 got = _sum_histograms(blocks, [q for q, _ in asked], offset, n, partitions)
                 zero = np.zeros((int(offset[-1]), 3), np.int64)
                 for m, (q, nodes) in zip(growing, asked):
-                    for i, node in enumerate(nodes):
-                        m.growing.receive(node, got.get((m.number, i), zero))
+                    m.growing.receive({node: got.get((m.number, i), zero)
+                                       for i, node in enumerate(nodes)})
                 growing = [m for m in growing if not m.growing.advance()]
             new = {}
             for m in live:
@@ -806,30 +829,31 @@ def score_all(models: Sequence[BoostedModel], df: DataFrame, keep: Sequence[str]
     return data.mapInArrow(run, ", ".join([*kinds, f"`{out}` array<double>"]))
 
 
-def score_own(models: Sequence[BoostedModel], df: DataFrame, keep: Sequence[str], which: Column,
-              out: str = "p") -> DataFrame:
-    """``keep`` and the probability by the model that ``which`` (an index) names for the row;
-    one scan.  Null without such a model."""
+def score_own(models: Sequence[BoostedModel], df: DataFrame, keep: Sequence[str],
+              which: Sequence[Column], out: str = "p") -> DataFrame:
+    """``keep`` and an array with the probability by each model that ``which`` (indexes) names
+    for the row, null where there is none; one scan."""
     first = models[0]
-    nf, nk = len(first.features), len(keep)
+    nf, nk, nw = len(first.features), len(keep), len(which)
     data = df.select(*[F.col(f"`{c}`") for c in keep], *doubles(df, first.features),
-                     F.coalesce(which.cast("int"), F.lit(-1)).alias("which"))
+                     *[F.coalesce(w.cast("int"), F.lit(-1)).alias(f"which{i}")
+                       for i, w in enumerate(which)])
     models = list(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = first.bins(batch_columns(b, nf, nk))
-            own = b.column(nk + nf).to_numpy()
-            p = np.full(len(own), np.nan)
-            for k in np.unique(own[(own >= 0) & (own < len(models))]).tolist():
-                at = np.flatnonzero(own == k)
-                p[at] = sigmoid(models[k].margin(x[:, at]))
+            p = np.full((b.num_rows, nw), np.nan)
+            for i in range(nw):
+                own = b.column(nk + nf + i).to_numpy()
+                for k in np.unique(own[(own >= 0) & (own < len(models))]).tolist():
+                    at = np.flatnonzero(own == k)
+                    p[at, i] = sigmoid(models[k].margin(x[:, at]))
+            flat = p.reshape(-1)
+            ends = pa.array(np.arange(0, p.size + 1, nw, dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(nk)), pa.array(p, mask=np.isnan(p))], [*keep, out])
+                [*(b.column(i) for i in range(nk)),
+                 pa.ListArray.from_arrays(ends, pa.array(flat, mask=np.isnan(flat)))], [*keep, out])
 
     kinds = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
-    return data.mapInArrow(run, ", ".join([*kinds, f"`{out}` double"]))
-
-
-def seeds(cfg: BoostConfig, values: Sequence[int]) -> list[BoostConfig]:
-    return [replace(cfg, seed=s) for s in values]
+    return data.mapInArrow(run, ", ".join([*kinds, f"`{out}` array<double>"]))

@@ -1,8 +1,8 @@
-"""Distributed tree models with Spark MLlib, scored into keyed tables.
+"""Distributed tree models, scored into keyed tables.
 
-Scores are DataFrames keyed by ``id`` (the reference aligns numpy vectors by position):
-``(id, y, fold, seed, model, p)``.  Only loops over folds / seeds / trials run on the
-driver; every fit and every scoring pass is a distributed MLlib / DataFrame job.
+Scores are DataFrames keyed by ``id``: ``(id, y, fold, seed, model, p)``.  Boosted trees are
+grown from histograms (``boosting``) and forests by random cuts (``forest``), all folds and
+seeds in one scan; vector features, and ``learner="mllib"``, go to Spark MLlib.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabrix.operators import boosting as B
 from tabrix.operators.sampling import holdout, kfold
 from tabrix.session import checkpoint_dir, materialize
 
@@ -24,14 +25,15 @@ MISSING = -999.0  # fixed fill for missing feature values before vector assembly
 
 @dataclass
 class TreeConfig:
-    """Boosted-tree / forest settings (MLlib names).  Reference knobs map as
-    rounds->max_iter, learning rate->step_size, depth->max_depth, min child->min_instances,
-    row fraction->subsampling_rate, column fraction->feature_subset, split gain->min_info_gain.
-    Rounds, depth and trees are the reference's by default."""
+    """Boosted-tree / forest settings (MLlib names): rounds, learning rate, depth, rows of a leaf,
+    share of rows, of columns ("all" or a fraction) and least gain of a split.  ``leaves``
+    (0: no limit), ``l1``, ``l2``, ``patience`` and ``metric`` belong to histogram boosting;
+    ``patience`` None is 10 rounds on an internal and 100 on a given validation part.
+    ``validation_tol`` and ``bootstrap`` are MLlib's alone."""
     max_iter: int = 1000
     step_size: float = 0.1
     max_depth: int = 8
-    min_instances: int = 1
+    min_instances: int = 20
     subsampling_rate: float = 1.0
     feature_subset: str = "all"
     min_info_gain: float = 0.0
@@ -40,6 +42,22 @@ class TreeConfig:
     validation_tol: float = 0.01
     num_trees: int = 500         # forests only
     bootstrap: bool = False      # forests only
+    leaves: int = 31
+    l1: float = 0.0
+    l2: float = 0.0
+    patience: int | None = None
+    metric: str = "auc"
+    learner: str = "histogram"
+
+    def boosting(self, patience: int = 0) -> B.BoostConfig:
+        """The same for histogram boosting; ``patience`` where none is set."""
+        share = 1.0 if self.feature_subset == "all" else float(self.feature_subset)
+        return B.BoostConfig(
+            rounds=self.max_iter, learning_rate=self.step_size, leaves=self.leaves,
+            max_depth=self.max_depth, min_rows=self.min_instances, l1=self.l1, l2=self.l2,
+            min_gain=self.min_info_gain, row_fraction=self.subsampling_rate,
+            column_fraction=share, metric=self.metric, seed=self.seed,
+            patience=(self.patience if self.patience is not None else patience) if patience else 0)
 
     def with_params(self, **kw) -> "TreeConfig":
         d = dict(self.__dict__)
@@ -123,17 +141,39 @@ def _bins(cfg: TreeConfig, categorical: dict[str, int] | None) -> int:
     return max([cfg.max_bins, *(n + 1 for n in (categorical or {}).values())])
 
 
+INTERNAL_PATIENCE = 10
+GIVEN_PATIENCE = 100
+
+
+def _uses_mllib(df: DataFrame, features: Sequence[str], cfg: TreeConfig) -> bool:
+    from pyspark.ml.linalg import VectorUDT
+    return (cfg.learner == "mllib" or VECTOR in df.columns
+            or any(isinstance(df.schema[c].dataType, VectorUDT) for c in features))
+
+
 def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
             label: str = "y", weight: str | None = None, val_col: str | None = None,
             internal_val: float | None = None,
-            categorical: dict[str, int] | None = None, id_col: str = "id") -> Fitted:
+            categorical: dict[str, int] | None = None, id_col: str = "id",
+            balanced: bool = False) -> Fitted:
     """Gradient-boosted trees.  ``val_col``: given early-stopping flag (G2);
     ``internal_val``: carve that share of the training rows as the early-stopping part
-    (G1); neither: fixed rounds (G3).  ``categorical``: code columns split as categories."""
+    (G1); neither: fixed rounds (G3).  ``categorical``: code columns split as categories.
+    ``balanced``: classes weighted to equal sums over the rows trained on."""
     d = df
     if internal_val:
-        d = holdout(d, internal_val, seed=cfg.seed, id_col=id_col, name="_tbx_val")
         val_col = "_tbx_val"
+        d = holdout(d, internal_val, seed=cfg.seed, id_col=id_col, y=label, name=val_col)
+    if not _uses_mllib(df, features, cfg):
+        wait = 0 if not val_col else INTERNAL_PATIENCE if internal_val else GIVEN_PATIENCE
+        role = F.when(F.col(f"`{val_col}`"), 2).otherwise(1) if val_col else F.lit(1)
+        if internal_val:
+            d = materialize(d)
+        model = B.fit_many(d, features, [B.Job(cfg.boosting(wait), balanced=balanced)], [role],
+                           label, weight, id_col, categorical, cfg.max_bins)[0]
+        return Fitted(model, list(features), "boosted", {"categorical": categorical or {}})
+    if balanced:
+        raise ValueError("balanced classes need the histogram learner; give weights instead")
     kw = dict(labelCol=label, featuresCol=VECTOR, maxIter=cfg.max_iter,
               stepSize=cfg.step_size, maxDepth=cfg.max_depth,
               minInstancesPerNode=cfg.min_instances, subsamplingRate=cfg.subsampling_rate,
@@ -174,9 +214,12 @@ def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeCon
 def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
           hard: bool = False, threshold: float = 0.5) -> DataFrame:
     """Probability of class 1 (and ``y_pred = p > threshold`` when ``hard``)."""
-    data = _training(df, keep, fitted.features, fitted.extra.get("categorical"))
-    out = fitted.model.transform(data).select(
-        *keep, vector_to_array("probability")[1].alias("p"))
+    if fitted.kind == "boosted":
+        out = B.score_all([fitted.model], df, keep).select(*keep, F.col("p")[0].alias("p"))
+    else:
+        data = _training(df, keep, fitted.features, fitted.extra.get("categorical"))
+        out = fitted.model.transform(data).select(
+            *keep, vector_to_array("probability")[1].alias("p"))
     if hard:
         out = out.select("*", (F.col("p") > threshold).cast("int").alias("y_pred"))
     return out
@@ -238,3 +281,62 @@ def oof(df: DataFrame, fit: FitFn, k: int = 5, seed: int = 42, y: str = "y",
             tout = tout.unionByName(p)
         tout = tout.select(id_col, "fold", *tag, "p")
     return out, tout
+
+
+@dataclass
+class Folds:
+    """Out-of-fold scores, every fold model's test scores (or None) and the models by
+    (configuration, fold)."""
+    oof: DataFrame
+    test: DataFrame | None
+    models: dict[tuple[int, int], Fitted]
+
+
+def oof_gbt(df: DataFrame, features: Sequence[str], cfgs: Sequence[TreeConfig], k: int = 5,
+            y: str = "y", test: DataFrame | None = None, model: str = "gbt", id_col: str = "id",
+            internal_val: float | None = None, stop_on_fold: bool = False,
+            categorical: dict[str, int] | None = None, balanced: bool = False) -> Folds:
+    """G8 for boosted trees: k folds for each of ``cfgs``, split by its seed (or by a ``fold``
+    column that is there), grown together; rows are scored by the models that did not see them
+    in one scan, test rows by all models in another.  Tables as :func:`oof` gives them.
+
+    ``stop_on_fold``: stop early on the fold left out; ``internal_val``: on that share of the
+    other folds' rows."""
+    d, own = df, []
+    for i, cfg in enumerate(cfgs):
+        name = f"_tbx_fold{i}"
+        d = (d.withColumn(name, F.col("fold")) if "fold" in df.columns
+             else kfold(d, k=k, seed=cfg.seed, y=y, id_col=id_col, name=name))
+        if internal_val:
+            d = holdout(d, internal_val, seed=cfg.seed, id_col=id_col, y=y, name=f"_tbx_val{i}")
+        own.append(F.col(name))
+    d = materialize(d)
+    jobs, roles = [], []
+    for i, cfg in enumerate(cfgs):
+        for f in range(k):
+            out = own[i] == f
+            role = F.when(out, 2 if stop_on_fold else 0)
+            if internal_val:
+                role = role.when(F.col(f"_tbx_val{i}"), 2)
+            wait = INTERNAL_PATIENCE if internal_val else GIVEN_PATIENCE if stop_on_fold else 0
+            jobs.append(B.Job(cfg.boosting(wait), len(roles), balanced))
+            roles.append(role.otherwise(1))
+    fits = B.fit_many(d, features, jobs, roles, y, None, id_col, categorical,
+                      cfgs[0].max_bins)
+    seed = F.array(*[F.lit(c.seed) for c in cfgs])
+    scored = B.score_own(fits, d, [id_col, y, *[f"_tbx_fold{i}" for i in range(len(cfgs))]],
+                         [F.lit(i * k) + c for i, c in enumerate(own)])
+    fold = F.array(*own)
+    oof = scored.select(id_col, y, fold.alias("_f"), F.posexplode("p").alias("_i", "p")).select(
+        id_col, y, F.col("_f")[F.col("_i")].alias("fold"), seed[F.col("_i")].alias("seed"),
+        F.lit(model).alias("model"), "p")
+    test_scores = None
+    if test is not None:
+        test_scores = (B.score_all(fits, test, [id_col])
+                       .select(id_col, F.posexplode("p").alias("_i", "p"))
+                       .select(id_col, (F.col("_i") % k).alias("fold"),
+                               seed[F.floor(F.col("_i") / k).cast("int")].alias("seed"),
+                               F.lit(model).alias("model"), "p"))
+    return Folds(oof, test_scores, {(i // k, i % k): Fitted(
+        m, list(features), "boosted", {"categorical": categorical or {}})
+        for i, m in enumerate(fits)})

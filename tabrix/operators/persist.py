@@ -7,11 +7,14 @@ their own writer.  ``load`` gives back an object of the same kind and behaviour.
 from __future__ import annotations
 
 import json
+from dataclasses import fields
 
+import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
 from tabrix.functions.scalar import WidthCut
+from tabrix.operators import boosting as B
 from tabrix.operators import encoders as E
 from tabrix.operators.models import Fitted
 
@@ -20,6 +23,27 @@ def _lookup_state(lk: E.FittedLookup) -> dict:
     return {"rows": lk.rows, "values": lk.values, "defaults": lk.defaults, "null_as": lk.null_as}
 
 
+_NODE_KINDS = {f.name: ("array<array<boolean>>" if f.name == "sets" else
+                        "array<double>" if f.name in ("value", "gain") else
+                        "array<boolean>" if f.name == "missing_left" else "array<long>")
+               for f in fields(B.Tree)}
+
+
+def _tree_table(spark: SparkSession, trees: list[B.Tree]) -> DataFrame:
+    """One row a tree, one array a field."""
+    rows = [(i, *[getattr(t, c).tolist() for c in _NODE_KINDS]) for i, t in enumerate(trees)]
+    return spark.createDataFrame(rows, ", ".join(
+        ["tree int", *[f"`{c}` {k}" for c, k in _NODE_KINDS.items()]]))
+
+
+def _tree(row) -> B.Tree:
+    kinds = {"value": float, "gain": float, "missing_left": bool, "sets": bool, "cover": np.int64}
+    out = {c: np.array(row[c], kinds.get(c, np.int32)) for c in _NODE_KINDS}
+    if not len(out["sets"]):
+        out["sets"] = np.zeros((0, 0), bool)
+    return B.Tree(**out)
+
+
 def save(obj, path: str, spark: SparkSession) -> None:
     """Write an encoder's, cut's or model's fitted state, or a plain dict such as one-hot
     levels or medians, under ``path`` (which must not exist)."""
@@ -41,6 +65,13 @@ def save(obj, path: str, spark: SparkSession) -> None:
     elif isinstance(obj, WidthCut):
         kind = "width_cut"
         state = {"k": obj.k, "precision": obj.precision, "edges": obj.edges, "labels": obj.labels}
+    elif isinstance(obj, Fitted) and obj.kind == "boosted":
+        m = obj.model
+        kind = "boosted"
+        state = {"features": obj.features, "extra": obj.extra, "init": m.init,
+                 "categorical": m.categorical, "edges": [e.tolist() for e in m.edges],
+                 "history": m.history}
+        table = _tree_table(spark, m.trees)
     elif isinstance(obj, Fitted):
         kind, state = "model", {"features": obj.features, "kind": obj.kind, "extra": obj.extra}
         obj.model.write().save(f"{path}/model")
@@ -75,6 +106,13 @@ def load(spark: SparkSession, path: str):
         cut = WidthCut(state["k"], state["precision"])
         cut.edges, cut.labels = state["edges"], state["labels"]
         return cut
+    if row["kind"] == "boosted":
+        rows = spark.read.parquet(f"{path}/table").collect()
+        model = B.BoostedModel(state["features"], state["categorical"],
+                               [np.array(e, float) for e in state["edges"]], state["init"],
+                               [_tree(r) for r in sorted(rows, key=lambda r: r["tree"])],
+                               state["history"])
+        return Fitted(model, state["features"], "boosted", state["extra"])
     if row["kind"] == "model":
         reader = {"gbt": GBTClassificationModel, "forest": RandomForestClassificationModel}
         return Fitted(reader[state["kind"]].load(f"{path}/model"), **state)
