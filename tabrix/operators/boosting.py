@@ -31,6 +31,7 @@ from pyspark.storagelevel import StorageLevel
 from tabrix.session import materialize
 
 BLOCK_ROWS = 16_384  # rows of a block at most; bounds the exactness of packed sums
+TASK_ROWS = 8_192  # rows of a task at least
 UNIT = 1 << 20  # fixed-point steps of the largest gradient
 COUNT = float(1 << 34)  # a row's count in a packed (count, hessian) sum
 CATEGORY_SMOOTHING = 10.0  # added to the hessian when categories are put in order
@@ -218,7 +219,7 @@ def _pack(df: DataFrame, features: list[str], categorical: dict[str, int],
             *[F.coalesce(r.cast("int"), F.lit(0)).alias(f"r{i}") for i, r in enumerate(roles)]]
     used = F.greatest(*[F.col(f"r{i}") for i in range(nr)], F.lit(0)) > 0
     data = df.select(*cols).where(F.col("y").isNotNull() & used)
-    data = data.coalesce(max(1, math.ceil(rows / BLOCK_ROWS)))
+    data = spread(data, rows, BLOCK_ROWS, TASK_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _regrouped(batches):
@@ -233,6 +234,19 @@ def _pack(df: DataFrame, features: list[str], categorical: dict[str, int],
     return data.mapInArrow(run, _BLOCK_SCHEMA)
 
 
+def tasks(df: DataFrame, rows: int, block: int, least: int) -> int:
+    """Partitions of the cached blocks: one a block or, of small tables, one a core as far as
+    each gets ``least`` rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, math.ceil(rows / block), min(cores, rows // least))
+
+
+def spread(df: DataFrame, rows: int, block: int, least: int) -> DataFrame:
+    """``df`` in that many partitions; a table of many blocks is not shuffled for it."""
+    n = tasks(df, rows, block, least)
+    return df.repartition(n) if 1 < n and rows < n * block else df.coalesce(n)
+
+
 def _regrouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of BLOCK_ROWS rows, the last one of a partition shorter."""
     held: list[pa.RecordBatch] = []
@@ -326,7 +340,7 @@ def _sum_histograms(blocks: DataFrame, requests: list[_Request], offset: np.ndar
 
     schema = "model int, slot int, h binary"
     part = blocks.mapInArrow(run, schema)
-    if partitions > 8:  # sum up on the executors first
+    if partitions > 16:  # sum up on the executors first
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[tuple[int, int], np.ndarray] = {}
@@ -741,7 +755,7 @@ def fit_many(df: DataFrame, features: Sequence[str], jobs: Sequence[Job], roles:
     packed = materialize(_pack(df, features, categorical, edges, label, weight, id_col, roles, top,
                                stats["n"]))
     blocks = packed.persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = math.ceil(stats["n"] / BLOCK_ROWS)
+    partitions = tasks(df, stats["n"], BLOCK_ROWS, TASK_ROWS)
     base, held, since = blocks, [blocks], 0
     n = len(models)
     watched = [m for m in models if m.cfg.patience and m.validates]

@@ -46,8 +46,9 @@ class FittedLookup:
     null_as: str | None = None
 
     def apply(self, df: DataFrame, cols: Sequence[str], out: dict[str, str],
-              replace: bool = False) -> DataFrame:
-        """For every column c and value v, add column ``out[v].format(c=c)`` (or replace c)."""
+              replace: bool = False, fill_unseen: bool = True) -> DataFrame:
+        """For every column c and value v, add column ``out[v].format(c=c)`` (or replace c).
+        ``fill_unseen=False`` leaves NULL where a level was not fitted."""
         res = df
         keep = list(df.columns)
         new_cols = {}
@@ -60,7 +61,7 @@ class FittedLookup:
             res = res.drop("_tbx_lvl")
             for v in self.values:
                 col = F.col(f"_tbx_{c}_{v}")
-                d = self.defaults.get(c, {}).get(v)
+                d = self.defaults.get(c, {}).get(v) if fill_unseen else None
                 if d is not None:
                     col = F.coalesce(col, F.lit(d))
                 new_cols[(c, v)] = col
@@ -192,14 +193,7 @@ class TargetEncoder:
 
 def target_transform(fitted: FittedLookup, df: DataFrame, cols: Sequence[str],
                      suffix: str = "_target_enc", fill_unseen: bool = True) -> DataFrame:
-    if not fill_unseen:
-        saved = fitted.defaults
-        fitted.defaults = {}
-        try:
-            return fitted.apply(df, cols, {"enc": "{c}" + suffix})
-        finally:
-            fitted.defaults = saved
-    return fitted.apply(df, cols, {"enc": "{c}" + suffix})
+    return fitted.apply(df, cols, {"enc": "{c}" + suffix}, fill_unseen=fill_unseen)
 
 
 def oof_target_encode(df: DataFrame, cols: Sequence[str], target: str = "y",

@@ -25,10 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tabrix.operators.boosting import batch_columns, doubles
+from tabrix.operators.boosting import batch_columns, doubles, spread, tasks
 from tabrix.session import materialize
 
 BLOCK_ROWS = 16_384
+TASK_ROWS = 1_024  # rows of a task at least
 GROUP_TREES = 128  # trees whose nodes the rows carry at a time
 PASS_BYTES = 1 << 25  # ranges of the open nodes of one pass
 SLICE = 256  # nodes of a row of partial sums
@@ -116,7 +117,7 @@ def _pack(df: DataFrame, features: list[str], label: str, roles: Sequence[Column
     data = df.select(*doubles(df, features), F.col(f"`{label}`").cast("double").alias("y"), *used)
     data = data.where(F.col("y").isNotNull() & (F.greatest(
         *[F.col(f"r{i}") for i in range(nr)], F.lit(0)) > 0))
-    data = data.coalesce(max(1, math.ceil(rows / BLOCK_ROWS)))
+    data = spread(data, rows, BLOCK_ROWS, TASK_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,7 +173,7 @@ def _merged(blocks: DataFrame, partial, combine, partitions: int) -> dict[int, n
                          for i, s in enumerate(range(0, len(flat), SLICE))})
 
     part = blocks.mapInArrow(run, schema)
-    if partitions > 4:
+    if partitions > 16:
 
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, np.ndarray] = {}
@@ -305,7 +306,7 @@ def fit_forests(df: DataFrame, features: Sequence[str], roles: Sequence[Column],
         F.count_if((r == 1) & (y > 0.5)).alias(f"p{i}"))]).first()
     packed = materialize(_pack(df, features, label, roles, stats["n"])).persist(
         StorageLevel.MEMORY_AND_DISK)
-    partitions = math.ceil(stats["n"] / BLOCK_ROWS)
+    partitions = tasks(df, stats["n"], BLOCK_ROWS, TASK_ROWS)
     grown: list[list[RandomTree]] = [[] for _ in roles]
     todo = [(k, t) for k in range(len(roles)) for t in range(trees) if stats[f"n{k}"]]
     try:

@@ -57,12 +57,18 @@ def exclude(df: DataFrame, other: DataFrame, keys: str | Sequence[str] = "id") -
 
 def attach_scores(df: DataFrame, scores: DataFrame, key: str = "id",
                   check: bool = True) -> DataFrame:
-    """Attach per-row scores by key (the reference aligns by row position).
+    """Attach per-row scores by key.
 
-    ``check`` asserts that both sides have the same rows (three counts)."""
-    out = df.join(scores, key, "inner")
+    ``check`` raises unless every key occurs exactly once on both sides: one pass over the keys
+    alone, counted per key and side.  A null key counts as a key that does not match."""
     if check:
-        n_df, n_sc, n_out = df.count(), scores.count(), out.count()
-        if not (n_df == n_sc == n_out):
-            raise ValueError(f"attach_scores: rows {n_df} / scores {n_sc} / matched {n_out}")
-    return out
+        sides = (df.select(F.col(key).alias("k"), F.lit(1).alias("a"), F.lit(0).alias("b"))
+                 .unionByName(scores.select(F.col(key).alias("k"), F.lit(0).alias("a"),
+                                            F.lit(1).alias("b"))))
+        per = sides.groupBy("k").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        wrong = {"null_keys": "k is null", "repeated": "a > 1", "scored_twice": "b > 1",
+                 "without_score": "b = 0", "without_row": "a = 0"}
+        r = per.agg(*[F.count_if(F.expr(c)).alias(n) for n, c in wrong.items()]).first().asDict()
+        if any(r.values()):
+            raise ValueError(f"attach_scores: {key} is no one-to-one match: {r}")
+    return df.join(scores, key, "inner")

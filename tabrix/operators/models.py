@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.operators import boosting as B
+from tabrix.operators import forest as T
 from tabrix.operators.sampling import holdout, kfold
 from tabrix.session import checkpoint_dir, materialize
 
@@ -194,9 +195,18 @@ def fit_gbt(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig
 def fit_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig = TreeConfig(),
                label: str = "y", weight: str | None = None,
                categorical: dict[str, int] | None = None) -> Fitted:
-    """Randomised tree ensemble without bootstrap (thresholds are best splits, not
-    random: no extra-trees learner in MLlib).  MLlib allows a depth of at most 30 and
-    raises beyond."""
+    """Extremely randomised trees (``forest``): one random cut for each of the square root
+    of the number of features in a node, codes taken as numbers.  With weights, bootstrap, native categories,
+    vector features or ``learner="mllib"``: MLlib's forest, whose thresholds are best splits
+    and whose depth is at most 30."""
+    if not (weight or cfg.bootstrap or categorical or _uses_mllib(df, features, cfg)):
+        if cfg.subsampling_rate != 1.0:
+            raise ValueError("randomised trees train on all rows")
+        take = (None if cfg.feature_subset == "all" else
+                max(1, round(float(cfg.feature_subset) * len(features))))
+        model = T.fit_forests(df, features, [F.lit(1)], cfg.num_trees, cfg.max_depth,
+                              cfg.min_instances, take, [cfg.seed], label)[0]
+        return Fitted(model, list(features), "random")
     kw = dict(labelCol=label, featuresCol=VECTOR, numTrees=cfg.num_trees,
               maxDepth=cfg.max_depth, minInstancesPerNode=cfg.min_instances,
               featureSubsetStrategy="sqrt" if cfg.feature_subset == "all" else cfg.feature_subset,
@@ -216,6 +226,8 @@ def score(fitted: Fitted, df: DataFrame, keep: Sequence[str] = ("id",),
     """Probability of class 1 (and ``y_pred = p > threshold`` when ``hard``)."""
     if fitted.kind == "boosted":
         out = B.score_all([fitted.model], df, keep).select(*keep, F.col("p")[0].alias("p"))
+    elif fitted.kind == "random":
+        out = T.score([fitted.model], df, keep).select(*keep, F.col("p")[0].alias("p"))
     else:
         data = _training(df, keep, fitted.features, fitted.extra.get("categorical"))
         out = fitted.model.transform(data).select(
@@ -340,3 +352,27 @@ def oof_gbt(df: DataFrame, features: Sequence[str], cfgs: Sequence[TreeConfig],
     return Folds(oof, test_scores, {(i // k, i % k): Fitted(
         m, list(features), "boosted", {"categorical": categorical or {}})
         for i, m in enumerate(fits)})
+
+
+def oof_forest(df: DataFrame, features: Sequence[str], cfg: TreeConfig, k: int = 5,
+               y: str = "y", test: DataFrame | None = None, model: str = "forest",
+               id_col: str = "id") -> Folds:
+    """G8 for forests of randomised trees: the k fold forests grow in the same passes; one scan
+    for the out-of-fold scores, one for test."""
+    name = "_tbx_fold"
+    d = (df.withColumn(name, F.col("fold")) if "fold" in df.columns
+         else kfold(df, k=k, seed=cfg.seed, y=y, id_col=id_col, name=name))
+    d = materialize(d)
+    fits = T.fit_forests(d, features, [F.when(F.col(name) != f, 1) for f in range(k)],
+                         cfg.num_trees, cfg.max_depth, cfg.min_instances, None,
+                         [cfg.seed + f for f in range(k)], y)
+    tag = [F.lit(cfg.seed).alias("seed"), F.lit(model).alias("model"), "p"]
+    oof = T.score(fits, d, [id_col, y, name], F.col(name)).select(
+        id_col, y, F.col(name).alias("fold"), *tag)
+    test_scores = None
+    if test is not None:
+        test_scores = (T.score(fits, test, [id_col])
+                       .select(id_col, F.posexplode("p").alias("fold", "p"))
+                       .select(id_col, "fold", *tag))
+    return Folds(oof, test_scores, {(0, f): Fitted(m, list(features), "random")
+                                    for f, m in enumerate(fits)})

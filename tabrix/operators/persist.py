@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabrix.functions.scalar import WidthCut
 from tabrix.operators import boosting as B
 from tabrix.operators import encoders as E
+from tabrix.operators import forest as T
 from tabrix.operators.models import Fitted
 
 
@@ -44,6 +45,15 @@ def _tree(row) -> B.Tree:
     return B.Tree(**out)
 
 
+_RANDOM = {"feature": np.int32, "cut": float, "left": np.int32, "p": float, "cover": np.int64}
+
+
+def _random_table(spark: SparkSession, trees: list[T.RandomTree]) -> DataFrame:
+    rows = [(i, *[getattr(t, c).tolist() for c in _RANDOM]) for i, t in enumerate(trees)]
+    return spark.createDataFrame(rows, "tree int, feature array<int>, cut array<double>, "
+                                       "left array<int>, p array<double>, cover array<long>")
+
+
 def save(obj, path: str, spark: SparkSession) -> None:
     """Write an encoder's, cut's or model's fitted state, or a plain dict such as one-hot
     levels or medians, under ``path`` (which must not exist)."""
@@ -72,6 +82,9 @@ def save(obj, path: str, spark: SparkSession) -> None:
                  "categorical": m.categorical, "edges": [e.tolist() for e in m.edges],
                  "history": m.history}
         table = _tree_table(spark, m.trees)
+    elif isinstance(obj, Fitted) and obj.kind == "random":
+        kind, state = "random", {"features": obj.features, "extra": obj.extra}
+        table = _random_table(spark, obj.model.trees)
     elif isinstance(obj, Fitted):
         kind, state = "model", {"features": obj.features, "kind": obj.kind, "extra": obj.extra}
         obj.model.write().save(f"{path}/model")
@@ -113,6 +126,12 @@ def load(spark: SparkSession, path: str):
                                [_tree(r) for r in sorted(rows, key=lambda r: r["tree"])],
                                state["history"])
         return Fitted(model, state["features"], "boosted", state["extra"])
+    if row["kind"] == "random":
+        rows = spark.read.parquet(f"{path}/table").collect()
+        trees = [T.RandomTree(*(np.array(r[c], k) for c, k in _RANDOM.items()))
+                 for r in sorted(rows, key=lambda r: r["tree"])]
+        return Fitted(T.Forest(state["features"], trees), state["features"], "random",
+                      state["extra"])
     if row["kind"] == "model":
         reader = {"gbt": GBTClassificationModel, "forest": RandomForestClassificationModel}
         return Fitted(reader[state["kind"]].load(f"{path}/model"), **state)

@@ -79,10 +79,10 @@ def g3(spark, sf):
 
 @query("g4_forest_imputed")
 def g4(spark, sf):
-    """Median-imputed features (fitted on train), forest without bootstrap."""
+    """Median-imputed features (fitted on train), 500 randomised trees of depth 20."""
     trf, tef, feats = f3_frames(spark, sf)
     med = MedianImputer(feats).fit(trf)
-    cfg = QCFG.with_params(num_trees=20, max_depth=8, min_instances=10)
+    cfg = G.TreeConfig(num_trees=500, max_depth=20, min_instances=10, seed=99)
     fit = G.fit_forest(MedianImputer.transform(trf, med), feats, cfg)
     return G.score(fit, MedianImputer.transform(tef, med))
 
@@ -193,15 +193,16 @@ def g12(spark, sf):
 @query("g12_pseudo_label_refit")
 def g12_refit(spark, sf):
     """G12 end to end with real models: OOF ensemble of boosted trees and a forest on F3
-    features, 0.7/0.3 blend of test scores, extremes labelled, appended, refit, 0.6/0.4.  5 folds and both seeds; 10 rounds
-    of depth 4 and 10 trees."""
+    features, 0.7/0.3 blend of test scores, extremes labelled, appended, refit, 0.6/0.4.  5
+    folds and both seeds; 20 rounds of depth 8 and 20 trees of depth 20."""
     trf, tef, feats = f3_frames(spark, sf)
     ar = cats(trf)
     gbt = G.oof_gbt(trf, feats, [QCFG.with_params(seed=s) for s in (42, 2024)], k=5, test=tef,
                     categorical=ar)
-    _, t_rf = G.oof(trf, lambda d: G.fit_forest(d, feats, QCFG.with_params(num_trees=10)),
-                    k=5, seed=99, test=tef)
-    ens = EN.blend({"g": EN.mean_scores(gbt.test), "f": EN.mean_scores(t_rf)}, {"g": 0.7, "f": 0.3})
+    forest = G.oof_forest(trf, feats, G.TreeConfig(num_trees=20, max_depth=20, min_instances=10,
+                                                   seed=99), k=5, test=tef)
+    ens = EN.blend({"g": EN.mean_scores(gbt.test), "f": EN.mean_scores(forest.test)},
+                   {"g": 0.7, "f": 0.3})
     ens = materialize(ens)
     labels = EN.pseudo_labels(ens, 0.05)
     aug = EN.augment(trf, tef.select(*[c for c in trf.columns if c != "y"]), labels)
@@ -245,10 +246,10 @@ def v10(spark, sf):
     return X.contribution_summary(G.fit_gbt(trf, feats, QCFG), tef)
 
 
-# ---- whole workflows (5 folds and both seeds; 3 trials, 10 rounds of depth 8, 10 trees) ----
+# ---- whole workflows (5 folds and both seeds; 3 trials, 10 rounds of depth 8, 20 trees) ----
 def _wf_budget():
     from tabrix.plans.workflows import Budget
-    return Budget(trials=3, folds=5, rounds=10, depth=8, seeds=(42, 2024), forest_trees=10)
+    return Budget(trials=3, folds=5, rounds=10, depth=8, seeds=(42, 2024), forest_trees=20)
 
 
 @query("wf_onehot_cv")

@@ -25,13 +25,15 @@ def test_registered_queries_use_all_folds_and_seeds(spark, monkeypatch):
     assert (Q._wf_budget().folds, Q._wf_budget().seeds) == (5, (42, 2024))
     calls = []
 
-    def oof(*args, k, seed, **kw):
-        calls.append((k, seed))
-        if len(calls) == 3:
+    def folds(df, feats, cfgs, k, **kw):
+        cfgs = cfgs if isinstance(cfgs, list) else [cfgs]
+        calls.append((k, [c.seed for c in cfgs]))
+        if len(calls) == 2:
             raise InterruptedError
-        return None, None
+        return G.Folds(None, None, {})
 
-    monkeypatch.setattr(Q.G, "oof", oof)
+    monkeypatch.setattr(Q.G, "oof_gbt", folds)
+    monkeypatch.setattr(Q.G, "oof_forest", folds)
     with pytest.raises(InterruptedError):
         Q.g12_refit(spark, SF_SMALL)
-    assert calls == [(5, 42), (5, 2024), (5, 99)]
+    assert calls == [(5, [42, 2024]), (5, [99])]

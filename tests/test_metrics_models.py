@@ -77,13 +77,18 @@ def test_native_categories(spark):
     trf, tef, feats = _fixture_frame(spark)
     ar = cats(trf)
     assert ar["month"] == 12 and ar["marital"] == 3
-    fit = G.fit_gbt(trf, feats, G.TreeConfig(max_iter=6, max_depth=4), categorical=ar)
-    nodes = X.node_table(fit)
-    assert nodes.where("numCategories >= 0 AND leftChild >= 0").count() > 0
-    c = X.contributions(fit, tef)
-    d = c.select((F.col("bias") + F.aggregate("contrib", F.lit(0.0), lambda a, b: a + b)
-                  - F.col("margin")).alias("d"))
-    assert d.agg(F.max(F.abs("d"))).first()[0] < 1e-9
+    for learner in ("mllib", "histogram"):
+        cfg = G.TreeConfig(max_iter=6, max_depth=4, learner=learner)
+        fit = G.fit_gbt(trf, feats, cfg, categorical=ar)
+        if learner == "mllib":
+            nodes = X.node_table(fit)
+            assert nodes.where("numCategories >= 0 AND leftChild >= 0").count() > 0
+        else:
+            assert any((t.category >= 0).any() for t in fit.model.trees)
+        c = X.contributions(fit, tef)
+        d = c.select((F.col("bias") + F.aggregate("contrib", F.lit(0.0), lambda a, b: a + b)
+                      - F.col("margin")).alias("d"))
+        assert d.agg(F.max(F.abs("d"))).first()[0] < 1e-9
 
 
 def test_score_algebra_conveniences(spark):

@@ -51,8 +51,11 @@ def test_cuts_levels_and_medians(spark, tmp_path):
 
 def test_models(spark, tmp_path):
     df = rows(spark).withColumn("a", (F.col("id") % 5).cast("int"))
-    cfg = G.TreeConfig(max_iter=2, num_trees=2, max_depth=3)
-    for name, fit in (("g", G.fit_gbt), ("f", G.fit_forest)):
-        m = fit(df, ["a", "x"], cfg, categorical={"a": 5})
+    cfg = G.TreeConfig(max_iter=2, num_trees=2, max_depth=3, min_instances=1)
+    mllib = cfg.with_params(learner="mllib")
+    for name, fit, cfg_, cats in (("g", G.fit_gbt, cfg, {"a": 5}), ("r", G.fit_forest, cfg, None),
+                                  ("m", G.fit_gbt, mllib, {"a": 5}),
+                                  ("f", G.fit_forest, mllib, {"a": 5})):
+        m = fit(df, ["a", "x"], cfg_, categorical=cats)
         save(m, str(tmp_path / name), spark)
         same(G.score(m, df), G.score(load(spark, str(tmp_path / name)), df))
