@@ -25,7 +25,7 @@ from tabrix.plans.registry import query
 from tabrix.session import materialize
 
 # fits with a fixed number of rounds; those that stop early have the notebooks' 1,000 or 2,000
-QCFG = G.TreeConfig(max_iter=20, max_depth=8, step_size=0.1, seed=42)
+QCFG = G.TreeConfig(max_iter=20, max_depth=6, step_size=0.1, seed=42)
 
 
 _f3: dict[tuple, object] = {}
@@ -194,7 +194,7 @@ def g12(spark, sf):
 def g12_refit(spark, sf):
     """G12 end to end with real models: OOF ensemble of boosted trees and a forest on F3
     features, 0.7/0.3 blend of test scores, extremes labelled, appended, refit, 0.6/0.4.  5
-    folds and both seeds; 20 rounds of depth 8 and 20 trees of depth 20."""
+    folds and both seeds; 20 rounds of depth 6 and 20 trees of depth 20."""
     trf, tef, feats = f3_frames(spark, sf)
     ar = cats(trf)
     gbt = G.oof_gbt(trf, feats, [QCFG.with_params(seed=s) for s in (42, 2024)], k=5, test=tef,
