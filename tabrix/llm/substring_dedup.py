@@ -20,7 +20,9 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,24 +188,34 @@ def _suffixes(docs: DataFrame, groups: int, window: int) -> DataFrame:
     return docs.select("doc", "text", "found").mapInArrow(run, _SUFFIX)
 
 
-def deep_repeats(words: list[bytes], count: np.ndarray, window: int
+def _word_numbers(words: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word of each row, words of each row): equal words have equal numbers."""
+    if isinstance(words, pa.ChunkedArray):
+        words = words.combine_chunks()
+    split = pa.compute.split_pattern(words.cast(pa.large_string()), " ")
+    if not len(split):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    flat = split.flatten().dictionary_encode()
+    return (flat.indices.to_numpy().astype(np.int64),
+            pa.compute.list_value_length(split).to_numpy().astype(np.int64))
+
+
+def deep_repeats(words: list[bytes] | pa.ChunkedArray, count: np.ndarray, window: int
                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffix tree of the windows in ``words``: per suffix row i, ``count[i]`` windows start at
     its first words.  Returns (row, offset, leaf interval) of every window, in the order of
     the leaves; windows of one interval are below one inner node of depth ``window``."""
-    split = [w.split(b" ") for w in words]
-    size = np.fromiter(map(len, split), np.int64, len(split))
-    total = int(size.sum())
-    ids: dict[bytes, int] = {}
-    name = np.fromiter((ids.setdefault(w, len(ids)) for s in split for w in s), np.int64, total)
+    if isinstance(words, list):
+        words = pa.array(words, pa.binary())
+    name, size = _word_numbers(words)
     names, depth = {1: name}, 1
-    while depth * 2 <= window:  # names of runs of 2, 4, 8, 16 ... words, in their order
+    while depth * 2 <= window:  # names of runs of 2, 4, 8, 16 ... words, by first occurrence
         a = names[depth]
         pair = a[:max(0, len(a) - depth)] << 32 | a[depth:]
-        names[depth * 2] = np.unique(pair, return_inverse=True)[1]
+        names[depth * 2] = pd.factorize(pair)[0]
         depth *= 2
     base = size.cumsum() - size
-    row = np.repeat(np.arange(len(words)), count)
+    row = np.repeat(np.arange(len(size)), count)
     offset = np.arange(len(row)) - np.repeat(count.cumsum() - count, count)
     start = base[row] + offset
     keys, at = [], 0
@@ -211,10 +223,11 @@ def deep_repeats(words: list[bytes], count: np.ndarray, window: int
         while at + d <= window:
             keys.append(names[d][start + at])
             at += d
-    order = np.lexsort(keys[::-1])
-    same = np.ones(max(0, len(order) - 1), bool)
-    for key in keys:  # common prefix of all words with the suffix before
-        same &= key[order[1:]] == key[order[:-1]]
+    key = keys[0]
+    for more in keys[1:]:  # one name for all words of a window
+        key = pd.factorize(key << 32 | more)[0]
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
     node = np.concatenate(([0], np.cumsum(~same))) if len(order) else np.zeros(0, np.int64)
     return row[order], offset[order], node
 
@@ -225,7 +238,7 @@ def _tree(table: pa.Table, window: int) -> pa.Table:
     live = table.filter(pa.compute.is_valid(table["words"]))
     doc, at = live["doc"].to_numpy(), live["at"].to_numpy()
     p, lo, hi = at >> 16, at >> 8 & 255, at & 255
-    row, offset, node = deep_repeats(live["words"].to_pylist(), hi - lo + 1, window)
+    row, offset, node = deep_repeats(live["words"], hi - lo + 1, window)
     d, s = doc[row], (p - hi)[row] + offset
     order = np.lexsort((s, d, node))
     node, d, s, row, offset = node[order], d[order], s[order], row[order], offset[order]
