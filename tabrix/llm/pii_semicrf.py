@@ -91,7 +91,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 _ATOM = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
-_TRIGGER = re.compile(r"[0-9]+|@|[\[(](?:at|dot)[\])]")
+_TRIGGER = re.compile(r"[0-9]+|@|[\[(](?:at|dot)[\])]", re.I)
 _AT = re.compile(r"\s?(?:[\[(]at[\])]|@)\s?", re.I)
 _DOT = re.compile(r"\s?(?:[\[(]dot[\])]|\[\.\]|\.)\s?", re.I)
 _MAIL_LIKE = re.compile(r"[\w.%+-]+@[\w-]+(\.[\w-]+)*\.[A-Za-z]{2,10}", re.A)

@@ -59,6 +59,8 @@ def test_field_adds_written_variants_and_leaves_other_numbers(weights):
 
     assert added("write to john.doe [at] example [dot] com today") == [
         ("email", "john.doe [at] example [dot] com")]
+    assert added("write to john.doe [AT] example [DOT] com today") == [
+        ("email", "john.doe [AT] example [DOT] com")]
     assert ("ip", "10[.]0[.]0[.]1") in added("the host 10[.]0[.]0[.]1 is up")
     for t in ("on 2021-05-17 and 12.05.2021", "version 3.11.2 of 2024", "ISBN 978-3-16-148410-0",
               "order 1234567 of 99", "a@b", 'token = "f33e61083db5dbdf4b"', "1,234.56 and 7%"):
