@@ -19,7 +19,7 @@ from tabrix.operators.encoders import MedianImputer
 from tabrix.operators.sampling import holdout
 from tabrix.operators.schema import split_origin
 from tabrix.plans import recipes as RC
-from tabrix.plans.common import camp, train_test
+from tabrix.plans.common import SPLIT_SQL, camp, train_test
 from tabrix.plans.oracle_base import with_campaign
 from tabrix.plans.registry import query
 from tabrix.session import materialize
@@ -122,6 +122,48 @@ def g8(spark, sf):
     return G.oof_gbt(trf, feats, [QCFG], k=5, categorical=ar).oof
 
 
+@query("g8_oof_rows", with_campaign(SPLIT_SQL) + """
+SELECT id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY
+                   md5(concat(CAST(id AS VARCHAR), ':', '42')), id) - 1) % 5 AS INTEGER) AS fold,
+       true AS has_score
+FROM train""")
+def g8_rows(spark, sf):
+    """G8's structure: every training row once, by the model of its own fold.  Ids, labels and
+    folds are checked against SQL, scores only for being there (two rounds)."""
+    trf, _, feats = f3_frames(spark, sf)
+    oof = G.oof_gbt(trf, feats, [QCFG.with_params(max_iter=2, max_depth=3)], k=5).oof
+    return oof.select("id", "y", "fold", F.col("p").between(0, 1).alias("has_score"))
+
+
+@query("g8_test_rows", with_campaign(SPLIT_SQL) + """
+SELECT id, CAST(count(*) AS BIGINT) AS n_scores
+FROM test CROSS JOIN range(0, 5) GROUP BY id""")
+def g8_test_rows(spark, sf):
+    """G8's structure on test: every id once by each of the five fold forests (5 trees each)."""
+    trf, tef, feats = f3_frames(spark, sf)
+    med = MedianImputer(feats).fit(trf)
+    cfg = G.TreeConfig(num_trees=5, max_depth=4, min_instances=10)
+    test = G.oof_forest(MedianImputer.transform(trf, med), feats, cfg, k=5,
+                        test=MedianImputer.transform(tef, med)).test
+    return test.where("p between 0 and 1").groupBy("id").agg(F.count("p").alias("n_scores"))
+
+
+@query("g13_trial_rows", """
+SELECT CAST(range AS INTEGER) AS trial, true AS in_space, CAST(1 AS BIGINT) AS n_best
+FROM range(0, 11)""")
+def g13_rows(spark, sf):
+    """G13's structure: eleven trials, the last from densities, every parameter inside its range
+    and one best trial (two rounds each)."""
+    trf, _, feats = f3_frames(spark, sf)
+    trials = SR.search(trf, feats, SPACE, n_trials=11, parallelism=5, seed=3,
+                       base=QCFG.with_params(max_iter=2, max_depth=3))
+    inside = F.lit(True)
+    for name, (_, lo, hi) in SPACE.items():
+        inside &= F.col("params")[name].between(lo * (1 - 1e-9), hi * (1 + 1e-9))
+    best = trials.agg(F.count_if("best")).scalar()
+    return trials.select("trial", inside.alias("in_space"), best.alias("n_best"))
+
+
 # ---- score algebra on a keyed score table (id, model, seed, fold, p) -----------------
 def fold_scores(spark, sf):
     """Score table in the shape fold models produce: one row per (id, model, seed, fold),
