@@ -137,6 +137,11 @@ def test_models_do_not_depend_on_partitions_or_company(spark, monkeypatch):
     assert same(one, many[1]) and len(many[0].trees) == 2
     own = B.score_own(many, df, ["id"], [F.col("id") % 3, F.lit(0)]).collect()
     both = {r["id"]: r["p"] for r in B.score_all(many, df, ["id"]).collect()}
+    for scored in (B.score_all(many, df, ["id"]), B.score_own(many, df, ["id"], [F.lit(0)])):
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ExistingRDD") == 1 and plan.count("MapInArrow") == 1  # one scan
+    alone = {r["id"]: r["p"][0] for r in B.score_all(many[1:], df, ["id"]).collect()}
+    assert all(alone[i] == p[1] for i, p in both.items())
     assert all(r["p"] == [(both[r["id"]] + [None])[r["id"] % 3], both[r["id"]][0]] for r in own)
 
 
