@@ -270,14 +270,18 @@ def one_hot_transform(df: DataFrame, levels: dict[str, list[str]], keep_source:
 
 # ---------------------------------------------------------------- E6 median impute
 class MedianImputer:
-    """Exact interpolated median per column, fitted once, NULL -> median."""
+    """Interpolated median per column, fitted once, NULL -> median.  Exact, or by a quantile
+    sketch of size ``sketch_k`` (rank error ``sketches.rank_error``)."""
 
-    def __init__(self, cols: Sequence[str]):
-        self.cols = list(cols)
+    def __init__(self, cols: Sequence[str], sketch_k: int | None = None):
+        self.cols, self.sketch_k = list(cols), sketch_k
 
     def fit(self, df: DataFrame) -> dict[str, float]:
         from tabrix.operators.groupstats import medians
-        return {r["feature"]: r["median"] for r in medians(df, self.cols).collect()}
+        from tabrix.operators.sketches import approx_medians
+        table = (medians(df, self.cols) if self.sketch_k is None
+                 else approx_medians(df, self.cols, self.sketch_k))
+        return {r["feature"]: r["median"] for r in table.collect()}
 
     @staticmethod
     def transform(df: DataFrame, med: dict[str, float]) -> DataFrame:

@@ -25,22 +25,33 @@ MISSING_TEXTS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _parsed(field: T.StructField) -> Column:
-    """A text column as the field's type; missing texts are NULL, a whole number may be written
-    as ``30.0``, and any other value that does not fit is an error naming column and value."""
-    text = F.trim(F.col(f"`{field.name}`"))
+def _read_as(field: T.StructField) -> tuple[Column, Column]:
+    """A text column as the field's type, and whether its text does not fit; missing texts are
+    NULL and a whole number may be written as ``30.0``."""
+    raw = F.col(f"`{field.name}`")
+    text = F.trim(raw)
     missing = text.isNull() | text.isin(*MISSING_TEXTS)
     if isinstance(field.dataType, T.StringType):
-        return F.when(missing, None).otherwise(F.col(f"`{field.name}`"))
+        return F.when(missing, None).otherwise(raw), F.lit(False)
     if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         number = text.try_cast("double")
         value = F.coalesce(text.try_cast(field.dataType),
                            F.when(number == F.floor(number), number.try_cast(field.dataType)))
     else:
         value = text.try_cast(field.dataType)
-    wrong = F.raise_error(F.concat(F.lit(f"column {field.name}: cannot read '"), text, F.lit(
+    return F.when(missing, None).otherwise(value), ~missing & value.isNull()
+
+
+def _parsed(field: T.StructField) -> Column:
+    """A text column as the field's type; a value that does not fit is an error naming column
+    and value."""
+    value, wrong = _read_as(field)
+    if isinstance(field.dataType, T.StringType):
+        return value
+    error = F.raise_error(F.concat(F.lit(f"column {field.name}: cannot read '"),
+                                   F.trim(F.col(f"`{field.name}`")), F.lit(
         f"' as {field.dataType.simpleString()}"))).cast(field.dataType)
-    return F.when(missing, None).otherwise(F.coalesce(value, wrong))
+    return F.when(wrong, error).otherwise(value)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
