@@ -8,3 +8,4 @@ from tabrix.plans import q_metrics  # noqa: F401
 from tabrix.plans import q_models  # noqa: F401
 from tabrix.plans import q_recipes  # noqa: F401
 from tabrix.plans import q_docs  # noqa: F401
+from tabrix.plans import q_prepared  # noqa: F401
