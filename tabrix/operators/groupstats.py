@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tabrix.operators.joins import sized_broadcast
 from tabrix.operators.ranking import ordered_prefix
-from tabrix.session import materialize
+from tabrix.session import materialize, rows_per_task
 
 EPS = 1e-5  # fixed value: ratio epsilon of the reference recipes
 
@@ -123,11 +123,27 @@ def add_group_means(df: DataFrame, keys: Sequence[str], targets: Sequence[str],
 
 def add_group_count(df: DataFrame, key: str, id_col: str = "id",
                     name: str = "user_count") -> DataFrame:
-    """Number of non-null ids sharing the row's key (high-cardinality key).
-
-    Aggregate then join back: partial aggregation absorbs a hot key; the join side is one
-    row per key, so AQE's skew join only has to split the row side."""
-    cnt = (df.where(F.col(key).isNotNull()).groupBy(key)
-             .agg(F.count(id_col).alias(name)).withColumnRenamed(key, "_tbx_key"))
-    j = df.join(cnt, df[key] == cnt["_tbx_key"], "left")  # NULL key -> NULL count
-    return j.drop("_tbx_key")
+    """Number of non-null ids sharing the row's key (high-cardinality key); NULL key -> NULL.
+
+    Partial aggregation absorbs a hot key.  For the way back, rows of keys with more than
+    ``rows_per_task`` rows, and rows without a key, are salted by a hash of their id, and only
+    those keys' counts are copied per salt.  Such keys are few (all rows / rows_per_task)."""
+    spark = df.sparkSession
+    target = rows_per_task(spark)
+    cnt = materialize(df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_tbx_key"))
+                      .agg(F.count(id_col).alias(name), F.count(F.lit(1)).alias("_tbx_rows")))
+    top = cnt.agg(F.max("_tbx_rows")).first()[0] or 0
+    if top <= target:
+        j = df.join(cnt.drop("_tbx_rows"), df[key] == cnt["_tbx_key"], "left")
+        return j.drop("_tbx_key")
+    salts = -(-top // target)
+    hot = cnt.where(F.col("_tbx_rows") > target).select(F.col("_tbx_key").alias("_tbx_hot"))
+    draw = F.pmod(F.xxhash64(F.col(id_col)), F.lit(salts)).cast("int")
+    rows = df.join(sized_broadcast(hot, hot.count()), df[key] == hot["_tbx_hot"], "left")
+    rows = rows.select("*", F.when(F.col("_tbx_hot").isNotNull() | F.col(key).isNull(), draw)
+                       .otherwise(F.lit(0)).alias("_tbx_salt"))
+    last = F.when(F.col("_tbx_rows") > target, F.lit(salts - 1)).otherwise(F.lit(0))
+    copies = cnt.select("_tbx_key", name, F.explode(F.sequence(F.lit(0), last)).alias("_tbx_s"))
+    j = rows.join(copies, (rows[key] == copies["_tbx_key"])
+                  & (rows["_tbx_salt"] == copies["_tbx_s"]), "left")
+    return j.drop("_tbx_key", "_tbx_hot", "_tbx_salt", "_tbx_s")

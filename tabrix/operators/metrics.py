@@ -58,6 +58,21 @@ def threshold_grid(lo: float = 0.3, hi: float = 0.8, step: float = 0.01) -> list
     return [float(t) for t in np.arange(lo, hi, step)]
 
 
+def _thresholds_below(p: Column, ts: list[float]) -> Column:
+    """How many of the ascending ``ts`` lie below ``p`` (NaN: above all).  On an even grid the
+    place is computed and corrected by the neighbouring thresholds; else each is compared."""
+    n = len(ts)
+    step = (ts[-1] - ts[0]) / (n - 1) if n > 1 else 0.0
+    if n < 3 or step <= 0 or any(abs(t - ts[0] - i * step) > step / 4 for i, t in enumerate(ts)):
+        return sum((F.when(p > F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
+    grid = F.array(*[F.lit(t) for t in ts])
+    at = F.floor((F.least(F.greatest(p, F.lit(ts[0] - step)), F.lit(ts[-1] + step))
+                  - F.lit(ts[0])) / F.lit(step)).cast("int") + 1
+    at = F.greatest(F.least(at, F.lit(n)), F.lit(0))
+    return (F.when(F.coalesce(F.get(grid, at - 1) >= p, F.lit(False)), at - 1)
+            .when(F.coalesce(F.get(grid, at) < p, F.lit(False)), at + 1).otherwise(at))
+
+
 def f1_by_threshold(scores: DataFrame, thresholds: Sequence[float], y: str = "y",
                     p: str = "p") -> DataFrame:
     """V3 table: (j, threshold, tp, fp, fn, f1, best) for every candidate, prediction
@@ -66,7 +81,7 @@ def f1_by_threshold(scores: DataFrame, thresholds: Sequence[float], y: str = "y"
     counts for every threshold.  ``best`` marks the first maximum F1 (none if all 0)."""
     ts = list(thresholds)
     spark = scores.sparkSession
-    idx = sum((F.when(F.col(p) > F.lit(t), 1).otherwise(0) for t in ts), F.lit(0))
+    idx = _thresholds_below(F.col(p).cast("double"), ts)
     cnt = scores.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(idx.alias("k")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).alias("neg"))

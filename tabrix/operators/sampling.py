@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.operators.ranking import exact_rank, seed_key, seeded_rank
@@ -65,10 +65,10 @@ def stratified_quota(counts: DataFrame, y: str, frac: float) -> DataFrame:
     part = counts.select(F.col(y).alias("_tbx_y"), F.floor(share).alias("base"),
                          (share - F.floor(share)).alias("rest"))
     left = n_hold - part.agg(F.sum("base")).scalar()
-    # one row per class, no data rows
-    order = Window.orderBy(F.col("rest").desc(), F.col("_tbx_y").isNull(), "_tbx_y")
-    return part.select("_tbx_y", (F.col("base") + (F.row_number().over(order) <= left)
-                                  .cast("int")).alias("_tbx_q"))
+    # range buckets: a label with very many values does not meet in one task
+    ranked = exact_rank(part, [-F.col("rest"), F.col("_tbx_y").isNull(), "_tbx_y"], name="_tbx_o")
+    return ranked.select("_tbx_y", (F.col("base") + (F.col("_tbx_o") <= left)
+                                    .cast("int")).alias("_tbx_q"))
 
 
 def kfold(df: DataFrame, k: int = 5, seed: int = 42, y: str | None = "y",

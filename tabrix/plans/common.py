@@ -7,7 +7,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrix.sources.fixture import campaign
+from tabrix.sources.fixture import campaign, table_state
 
 R6 = 6  # float outputs are rounded to 6 decimals in both engines before comparison
 
@@ -33,7 +33,7 @@ def train_test(spark: SparkSession, sf: str, frac: float = 0.2, seed: int = 42):
 
     from tabrix.operators.sampling import holdout
     from tabrix.session import checkpoint_dir
-    key = (spark.sparkContext.applicationId, sf, frac, seed)
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf), frac, seed)
     d = camp(spark, sf)
     with _split_lock:
         if key not in _splits:

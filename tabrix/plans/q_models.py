@@ -23,6 +23,7 @@ from tabrix.plans.common import SPLIT_SQL, camp, train_test
 from tabrix.plans.oracle_base import with_campaign
 from tabrix.plans.registry import query
 from tabrix.session import materialize
+from tabrix.sources.fixture import table_state
 
 # fits with a fixed number of rounds; those that stop early have the notebooks' 1,000 or 2,000
 QCFG = G.TreeConfig(max_iter=20, max_depth=6, step_size=0.1, seed=42)
@@ -35,7 +36,7 @@ _f3_lock = threading.Lock()
 def f3_frames(spark, sf):
     """F3 features on the tagged union, split back.  The feature table is written once per
     application (shared folder) and reused by every model query of that application."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, table_state(spark, sf))
     tr, te = train_test(spark, sf)
     with _f3_lock:
         if key not in _f3:

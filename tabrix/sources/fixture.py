@@ -25,7 +25,7 @@ CAMPAIGN_COLUMNS = ["id", "age", "job", "marital", "education", "default", "bala
 CATEGORICAL = ["job", "marital", "education", "default", "housing", "loan", "contact",
                "month", "poutcome"]
 
-_written: dict[tuple[str, str], str] = {}
+_written: dict[tuple[str, str, str], str] = {}
 _lock = threading.Lock()
 
 
@@ -33,6 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_state(spark: SparkSession, sf_dir: str) -> str:
+    """Time, size and file count of the campaign's input tables: files replaced at one path are
+    other inputs.  A few calls to the file system, no listing at the driver."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    state = []
+    for name in ("orders", "customer", "nation", "region", "lineitem"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total = fs.getContentSummary(p)
+            state.append((name, fs.getFileStatus(p).getModificationTime(), total.getLength(),
+                          total.getFileCount()))
+    return hashlib.md5(repr(state).encode()).hexdigest()[:12]
+
+
 def derive_campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Campaign rows from orders/customer/nation/region/lineitem (no caching)."""
     o = table(spark, sf_dir, "orders").select(
@@ -94,10 +109,10 @@ def campaign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The campaign view, materialised once per application as parquet in the shared
     checkpoint folder (cuts lineage, survives executor loss, keeps pushdown)."""
     app = spark.sparkContext.applicationId
-    key = (app, sf_dir)
+    key = (app, sf_dir, table_state(spark, sf_dir))
     with _lock:  # one writer per application, even with concurrent callers
         if key not in _written:
-            tag = hashlib.md5(f"{app}:{sf_dir}".encode()).hexdigest()[:12]
+            tag = hashlib.md5(repr(key).encode()).hexdigest()[:12]
             path = f"{checkpoint_dir(spark).rstrip('/')}/campaign-{tag}"
             derive_campaign(spark, sf_dir).write.mode("overwrite").parquet(path)
             _written[key] = path
