@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabrix.llm.names import column, own
+
 # Fixed value: the public byte-level BPE splitting pattern.
 SPLIT_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                  r"|\s+(?!\S)|\s+")
@@ -226,6 +228,7 @@ def encode_documents(docs: DataFrame, path: str, text_col: str = "text") -> Data
     Null texts count as empty.  Repeated rows stay; columns of ``docs`` with one of the three
     names (in any case) are replaced, all others pass unchanged."""
     new = [f.name for f in _DIGEST.fields]
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
-    return (docs.select(*keep, round_trip_digest(F.col(text_col), path).alias("_bpe"))
-                .select(*keep, *[F.col("_bpe")[c].alias(c) for c in new]))
+    keep = [column(c) for c in docs.columns if c.lower() not in new]
+    digest = own("_bpe", docs)
+    return (docs.select(*keep, round_trip_digest(column(text_col), path).alias(digest))
+                .select(*keep, *[F.col(digest)[c].alias(c) for c in new]))

@@ -16,8 +16,9 @@ costs the part more than it may lose.  Where one word of a part is too much even
 the shingles of both parts are judged together; where it is too much for the whole item (fewer
 than five words), all of it must occur.
 
-The items are indexed in shards of at most ``SHARD_BYTES`` of text, each with its own corpus
-statistics; a shard's text is bounded and goes to every task of one pass over the documents.
+The items are indexed in shards of at most ``SHARD_BYTES`` of text; a shard's text is bounded and
+goes to every task of one pass over the documents.  Item count, mean length, document frequencies
+and the classes' steps are those of all items, so that shards do not change a score.
 """
 
 from __future__ import annotations
@@ -25,15 +26,21 @@ from __future__ import annotations
 import functools
 import math
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain, repeat
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabrix.llm.names import column, own
+from tabrix.session import materialize
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.7
@@ -100,20 +107,39 @@ def judged(q: list[bytes], a: list[bytes], overlap: float
     return (shingles(q), shingles(a)) if whole is None else (whole, whole)
 
 
+class Statistics(NamedTuple):
+    """Of all items with words: their number and mean length, the smallest length of each class
+    and the number of items that have a term (here of the terms of one shard)."""
+    items: int
+    mean: float
+    least: dict[int, int]
+    df: dict[bytes, int]
+
+
+def _class(n: int) -> int:
+    return (n - 1).bit_length()
+
+
 class Index:
-    """BM25 inverted index with block maxima over items (item_id, text)."""
+    """BM25 inverted index with block maxima over items (item_id, text), by their own statistics
+    or those of the larger table that they are a shard of."""
 
-    def __init__(self, items: Iterable[tuple[int, str]], block: int = BLOCK_ITEMS,
-                 overlap: float = OVERLAP):
+    def __init__(self, items: Iterable[tuple[Any, str]], block: int = BLOCK_ITEMS,
+                 overlap: float = OVERLAP, stats: Statistics | None = None):
         known = [(len(q) + len(a), i, q, a) for i, text in items
                  for q, a in [question_answer(text)] if q or a]
         known.sort()
         self.ids = [i for _, i, _, _ in known]
         self.parts = [judged(q, a, overlap) for _, _, q, a in known]
         docs = [Counter(q + a) for _, _, q, a in known]
-        df = Counter(t for d in docs for t in d)
-        mean = sum(n for n, *_ in known) / max(len(docs), 1)
-        idf = {t: math.log(1 + (len(docs) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+        if stats is None:
+            least: dict[int, int] = {}
+            for n, *_ in known:
+                least.setdefault(_class(n), n)
+            stats = Statistics(len(docs), sum(n for n, *_ in known) / max(len(docs), 1), least,
+                               Counter(t for d in docs for t in d))
+        df, mean = stats.df, stats.mean
+        idf = {t: math.log(1 + (stats.items - n + 0.5) / (n + 0.5)) for t, n in df.items()}
         self.term = {t: i for i, t in enumerate(sorted(df), 1)}  # 0: not in the index
         self.docs: list[list[int]] = [[] for _ in range(len(df) + 1)]
         self.impacts: list[list[float]] = [[] for _ in range(len(df) + 1)]
@@ -121,8 +147,7 @@ class Index:
         self.block_of, self.block_range = [], []
         self.classes: list[tuple[int, int, int]] = []  # step, first and last block
         for i, (d, (n, *_)) in enumerate(zip(docs, known)):
-            size = (n - 1).bit_length()
-            new_class = i == 0 or size != (known[i - 1][0] - 1).bit_length()
+            new_class = i == 0 or _class(n) != _class(known[i - 1][0])
             if new_class or i - self.block_range[-1][0] == block:
                 self.block_range.append((i, i + 1))
             else:
@@ -130,7 +155,7 @@ class Index:
             k = len(self.block_range) - 1
             self.block_of.append(k)
             if new_class:
-                self.classes.append((n, k, k + 1))
+                self.classes.append((stats.least[_class(n)], k, k + 1))
             else:
                 self.classes[-1] = (n, self.classes[-1][1], k + 1)
             norm = K1 * (1 - B + B * n / mean)
@@ -241,43 +266,87 @@ class Index:
         return {tuple(w[i:i + k]) for k in range(1, SHINGLE + 1) for i in range(len(w) - k + 1)}
 
 
-@functools.lru_cache(maxsize=2)
-def _index(items: tuple[tuple[int, str], ...], overlap: float) -> Index:
-    """One index per Python worker and shard."""
-    return Index(items, overlap=overlap)
+Shard = tuple[tuple[tuple[Any, str], ...], Statistics | None]
+_built: list[tuple[str, float, Index]] = []
+
 
+def _index(name: str, shard: Shard, overlap: float) -> Index:
+    """One index per Python worker and shard; the last two are kept."""
+    for known, o, index in _built:
+        if (known, o) == (name, overlap):
+            return index
+    index = Index(shard[0], overlap=overlap, stats=shard[1])
+    _built.append((name, overlap, index))
+    del _built[:-2]
+    return index
 
-def _shards(items: DataFrame, id_col: str, text_col: str
-            ) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The items in shards of about SHARD_BYTES; each is bounded, and read on its own."""
-    rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter(
+
+def _terms(rows: DataFrame) -> DataFrame:
+    """(shard, n, term) of every item with words: its length and, once each, its terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            shard, n, terms = [], [], []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                q, a = question_answer(t)
+                if q or a:
+                    shard.append(k)
+                    n.append(len(q) + len(a))
+                    terms.append(sorted(set(q + a)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int64()), pa.array(n, pa.int64()),
+                 pa.array(terms, pa.list_(pa.binary()))], ["shard", "n", "terms"])
+
+    return rows.select("shard", "t").mapInArrow(run, "shard long, n long, terms array<binary>")
+
+
+def _shards(items: DataFrame, id_col: str, text_col: str) -> Iterator[Shard]:
+    """The items in shards of about SHARD_BYTES with the statistics of all items; each shard is
+    bounded, and read on its own."""
+    rows = items.select(column(id_col).alias("i"), column(text_col).alias("t")).filter(
         "i is not null and t is not null").distinct()
     size = rows.agg(F.sum(F.octet_length("t") + 16)).first()[0] or 0
     n = -(-size // SHARD_BYTES)
+    if n <= 1:
+        if n:
+            yield tuple(sorted((r["i"], r["t"]) for r in rows.collect())), None
+        return
+    rows = materialize(rows.withColumn("shard", F.pmod(F.xxhash64("i", "t"), F.lit(n))))
+    terms = materialize(_terms(rows))
+    # one row per class of lengths, of which there are at most 64
+    least = {_class(r["n"]): r["n"] for r in terms.groupBy(
+        F.ceil(F.log2("n")).alias("class")).agg(F.min("n").alias("n")).collect()}
+    total = terms.agg(F.count(F.lit(1)).alias("items"), F.avg("n").alias("mean")).first()
+    each = terms.select("shard", F.explode("terms").alias("term"))
+    df = each.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = materialize(each.distinct().join(df, "term"))
     for k in range(n):
-        shard = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield tuple(sorted((r["i"], r["t"]) for r in shard.collect()))
+        own_df = {bytes(r["term"]): r["df"] for r in frequency.filter(F.col("shard") == k).collect()}
+        shard = tuple(sorted((r["i"], r["t"]) for r in rows.filter(F.col("shard") == k).collect()))
+        yield shard, Statistics(total["items"] or 0, total["mean"] or 0.0, least, own_df)
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_id_col: str = "item_id", item_text_col: str = "text",
           threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(id, item_id, score, question_overlap, answer_overlap) of every leaked item of every
-    row of ``docs``, best passage first by score.
+    row of ``docs``, best passage first by score.  Ids keep their types; item ids need an order.
 
     Null and empty texts leak nothing; items with a null id, a null text or no words are left
     out; items with one id and different texts count on their own.  Repeated documents and
     null document ids give their rows as often as they occur.  Other columns are not read."""
-    schema = (f"{id_col} long, {item_id_col} long, score double, question_overlap double, "
-              "answer_overlap double")
-    src = docs.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).filter(
+    src = docs.select(column(id_col).alias("i"), column(text_col).alias("t")).filter(
         "t is not null")
     names = [id_col, item_id_col, "score", "question_overlap", "answer_overlap"]
-    types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    given = [src.schema["i"].dataType, items.select(column(item_id_col)).schema[0].dataType]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(
+        names, [*given, *[T.DoubleType()] * 3])])
+    types = docs.sparkSession.createDataFrame([], schema).toArrow().schema.types
+
+    def search(shard: Shard) -> DataFrame:
+        name = uuid.uuid4().hex
 
-    def search(shard: tuple[tuple[int, str], ...]) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = _index(shard, overlap)
+            index = _index(name, shard, overlap)
             for b in batches:
                 ids, texts = b.column(0).to_pylist(), b.column(1)
                 out, at, n, group = [], 0, 0, []
@@ -303,6 +372,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that leak an item, all columns unchanged.  Rows with a
     null id are kept: the decision is made by id (copies of one id go together)."""
+    leaking = own("_leaking_id", docs)
     found = leaks(docs, items, id_col, text_col, **options).select(
-        F.col(id_col).alias("_leaking_id")).filter("_leaking_id is not null").distinct()
-    return docs.join(found, F.col(f"`{id_col}`") == F.col("_leaking_id"), "left_anti")
+        column(id_col).alias(leaking)).filter(F.col(leaking).isNotNull()).distinct()
+    return docs.join(found, column(id_col) == F.col(leaking), "left_anti")

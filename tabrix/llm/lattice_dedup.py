@@ -23,8 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabrix.llm.components import connected_components
+from tabrix.llm.names import column
 from tabrix.session import materialize
 
 TABLES = 4
@@ -218,13 +220,23 @@ def _cuts(table: pa.Table, keys: list[str]) -> list[int]:
     return [0, *(np.flatnonzero(new) + 1).tolist(), table.num_rows]
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with labels as longs: whole numbers as they are, others by a table of numbers."""
+    if isinstance(rows.schema["label"].dataType, T.IntegralType):
+        return rows.withColumn("label", F.col("label").cast("long"))
+    known = materialize(rows.filter("label is not null").select("label").distinct()
+                        .withColumn("number", F.monotonically_increasing_id()))
+    return rows.join(known, "label", "left").select("id", F.col("number").alias("label"), "v", "ok")
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     label_col: str = "label", cosine: float = 0.93, tables: int = TABLES,
                     probes: int = PROBES) -> DataFrame:
     """One row per vector: id, n_links (other vectors linked directly), component_id (smallest
     id reachable) and kept (the id is its component's).
 
-    Only vectors of equal non-null label and equal dimension are compared.  Null, empty and
+    Only vectors of equal non-null label (of any type that can be grouped) and equal dimension
+    are compared.  Null, empty and
     zero vectors and those with null or non-finite entries link with nothing.  Rows that
     repeat an id are vectors of their own; null ids are never a component's id unless it has
     no other, which gives a null component_id.  Other columns are not read."""
@@ -232,9 +244,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     usable = (F.col("label").isNotNull() & (F.size(v) > 0) & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
         & F.exists(v, lambda x: x != 0))
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).cast("long").alias("label"),
-                          F.col(vec_col).alias("v")).withColumn(
+    rows = vectors.select(column(id_col).alias("id"), column(label_col).alias("label"),
+                          column(vec_col).alias("v")).withColumn(
         "ok", F.coalesce(usable, F.lit(False)))
+    rows = _numbered(rows)
     keyed = rows.select("*", F.xxhash64("label", "v").alias("k1"),
                         F.xxhash64(F.lit(SEED), "v", "label").alias("k2"))
     classes = materialize(

@@ -29,12 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabrix.llm.names import column, own
+
 KINDS = ("email", "ip", "card", "phone")
 MAX_ATOMS = 26
 REACH = 48
 MAX_REGIONS = 240
 PER_TEXT = 3
 MAX_STRETCH = 600
+PIECE = 8000  # characters of a lattice; features are held for no more at a time
+MARGIN = 1200
 MIN_CONFIDENCE = 0.95
 
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -409,12 +413,49 @@ def find_spans(text: str, w: dict[str, float], min_confidence: float = MIN_CONFI
         for a, b in regions(text):
             while at < len(taken) and taken[at][1] <= a:
                 at += 1
-            for k, x, y in Lattice(text, a, b).decode(w, min_confidence):
+            for k, x, y in _decoded(text, a, b, w, min_confidence):
                 if not any(x < q and p < y for p, q in _near(taken, at, b)):
                     found.append((k, x, y))
     return base, sorted(found)
 
 
+def pieces(text: str, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+    """A region in pieces of bounded length: (from, to) of the field's lattice and (first, last)
+    of the starts that count there.  Pieces end at a line end, which no segment crosses, else at
+    white space, and have ``MARGIN`` characters of their neighbours at both ends."""
+    first = a
+    while b - first > PIECE:
+        last = _gap(text, first + PIECE // 2, first + PIECE)
+        yield (max(a, _gap(text, first - MARGIN, first - MARGIN // 2)),
+               min(b, _gap(text, last + MARGIN // 2, last + MARGIN)), first, last)
+        first = last
+    yield max(a, _gap(text, first - MARGIN, first - MARGIN // 2)) if first > a else a, b, first, b
+
+
+def _gap(text: str, x: int, y: int) -> int:
+    """The place after the last line end of text[x:y], else after its last white space, else y."""
+    x, y = max(x, 0), max(y, 0)
+    if (at := text.rfind("\n", x, y)) >= 0:
+        return at + 1
+    for at in range(min(y, len(text)) - 1, x - 1, -1):
+        if text[at].isspace():
+            return at + 1
+    return y
+
+
+def _decoded(text: str, a: int, b: int, w: dict[str, float], min_confidence: float
+             ) -> Iterator[Span]:
+    """The field's spans of a region.  Regions of up to ``PIECE`` characters are decoded at
+    once; in longer ones a span counts in the piece that it starts in, unless one found before
+    reaches into it."""
+    end = a
+    for lo, hi, first, last in pieces(text, a, b):
+        for k, x, y in Lattice(text, lo, hi).decode(w, min_confidence):
+            if first <= x < last and x >= end:
+                yield k, x, y
+                end = y
+
+
 def _near(taken: list[tuple[int, int]], at: int, end: int) -> Iterator[tuple[int, int]]:
     while at < len(taken) and taken[at][0] < end:
         yield taken[at]
@@ -451,7 +492,7 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       for _, order, part, gold in got}.values())
         yield pa.RecordBatch.from_arrays([pa.array([json.dumps(w)])], ["model"])
 
-    chosen = (docs.select(F.col(text_col).cast("string").alias("t")).filter("t is not null")
+    chosen = (docs.select(column(text_col).cast("string").alias("t")).filter("t is not null")
               .mapInArrow(choose, _EXAMPLE).dropDuplicates(["kind", "place"])
               .withColumn("n", F.row_number().over(Window.partitionBy("kind").orderBy("place")))
               .filter(F.col("n") <= max_regions).drop("n"))
@@ -495,6 +536,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of these names (in any case) are replaced, all others pass unchanged."""
     w = fit_pii(docs, id_col, text_col, max_regions)
     new = [f.name for f in _FOUND.fields]
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
-    return (docs.select(*keep, pii_columns(F.col(text_col), w, min_confidence).alias("_pii"))
-            .select(*keep, *[F.col("_pii")[c].alias(c) for c in new]))
+    keep = [column(c) for c in docs.columns if c.lower() not in new]
+    pii = own("_pii", docs)
+    return (docs.select(*keep, pii_columns(column(text_col), w, min_confidence).alias(pii))
+            .select(*keep, *[F.col(pii)[c].alias(c) for c in new]))

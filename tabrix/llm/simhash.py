@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabrix.llm.components import connected_components
+from tabrix.llm.names import column, own
 from tabrix.session import materialize
 
 SEED = 42  # of the shingles' XXH64
@@ -112,8 +113,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay; ids are compared without nulls, so a component of only null ids has a null
     component_id.  Other columns of ``docs`` are not read.  Texts are read once; the narrow
     fingerprint table is written to the shared folder."""
-    rows = materialize(docs.select(F.col(id_col).alias("id"),
-                                   fingerprint(F.col(text_col), shingle).alias("fp")))
+    rows = materialize(docs.select(column(id_col).alias("id"),
+                                   fingerprint(column(text_col), shingle).alias("fp")))
     classes = materialize(rows.groupBy("fp").agg(F.min("id").alias("low")))
     comp = connected_components(links(classes, max_bits))
     member = classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -130,6 +131,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     """``docs`` with one document of each component, the one with the smallest id.  Rows that
     repeat that id stay; rows with a null id stay if their component has no other id."""
     comp = simhash_components(docs, id_col, text_col, shingle, max_bits)
-    keep = comp.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_keep_id")).distinct()
-    return docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_keep_id")), "left_semi")
+    kept = own("_keep_id", docs)
+    keep = comp.filter(column(id_col).eqNullSafe(F.col("component_id"))).select(
+        column(id_col).alias(kept)).distinct()
+    return docs.join(keep, column(id_col).eqNullSafe(F.col(kept)), "left_semi")

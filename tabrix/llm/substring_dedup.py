@@ -25,7 +25,10 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tabrix.llm.names import column
+from tabrix.operators.ranking import exact_rank
 from tabrix.session import materialize
 
 WINDOW = 20
@@ -263,12 +266,25 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined by one space) and, if asked for, those words as ``kept_text``.
 
     Null and short texts have no window.  Rows that repeat an id are one document: windows at
-    one start do not remove each other.  Null ids come before all others.  Other columns of
-    ``docs`` are not read."""
+    one start do not remove each other.  Ids may be of any type with an order; null ids come
+    before all others.  Other columns of ``docs`` are not read."""
     if not ANCHOR < window <= 60:
         raise ValueError(f"window must be above {ANCHOR} and at most 60")
-    src = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),
-                      F.col(text_col).alias("text"))
+    src = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
+    if isinstance(src.schema["id"].dataType, T.IntegralType):
+        out = _removed(src.select(F.coalesce(F.col("id").cast("long"), F.lit(NULL_ID)).alias("doc"),
+                                  "text"), window, keep_text)
+        return out.withColumn("doc", F.nullif("doc", F.lit(NULL_ID))).withColumnRenamed("doc", id_col)
+    # other ids by their place in the order of all ids
+    place = materialize(exact_rank(src.select("id").filter("id is not null").distinct(), ["id"],
+                                   name="doc"))
+    out = _removed(src.join(place, "id", "left").select(
+        F.coalesce("doc", F.lit(NULL_ID)).alias("doc"), "text"), window, keep_text)
+    return out.join(place, "doc", "left").select(
+        F.col("id").alias(id_col), *[c for c in out.columns if c != "doc"])
+
+
+def _removed(src: DataFrame, window: int, keep_text: bool) -> DataFrame:
     table = materialize(anchor_table(src, window))
     # one narrow row per repeated prefix
     prefixes = materialize(table.groupBy("h").agg(F.sum(F.size("at")).alias("n")).filter("n > 1"))
@@ -281,10 +297,10 @@ def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = (suffixes.groupBy("grp").applyInArrow(
                 lambda t: _tree(t, window), "doc long, start long, mask long")
             .groupBy("doc").agg(F.collect_list(F.struct("start", "mask")).alias("gone")))
-    return _kept(src.join(gone, "doc", "left"), id_col, window, keep_text)
+    return _kept(src.join(gone, "doc", "left"), window, keep_text)
 
 
-def _kept(rows: DataFrame, id_col: str, window: int, keep_text: bool) -> DataFrame:
+def _kept(rows: DataFrame, window: int, keep_text: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, part in _grouped(batches):
             n, removed, sha, kept = [], [], [], []
@@ -314,6 +330,5 @@ def _kept(rows: DataFrame, id_col: str, window: int, keep_text: bool) -> DataFra
                 names.append("kept_text")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    out = rows.select("doc", "text", "gone").mapInArrow(
+    return rows.select("doc", "text", "gone").mapInArrow(
         run, "doc long, " + _RESULT + (", kept_text string" if keep_text else ""))
-    return out.withColumn("doc", F.nullif("doc", F.lit(NULL_ID))).withColumnRenamed("doc", id_col)

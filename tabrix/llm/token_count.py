@@ -21,6 +21,8 @@ GROUP_BYTES = 4 << 20
 BATCH_BYTES = 1 << 20
 CACHE_BYTES = 12 << 20
 
+from tabrix.llm.names import column
+
 
 class PieceCounter:
     """Token counts of texts (UTF-8 bytes) from a tokenizers file."""
@@ -136,7 +138,7 @@ def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int
     Null or empty text: 0, 0, false.  Repeated rows stay.  Columns of ``docs`` that have one
     of the three ``names`` are replaced, all others pass unchanged (also null ids)."""
     b, n, over = names
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in {x.lower() for x in names}]
-    return (docs.select(*keep, F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias(b),
-                        token_count(F.col(text_col), path).alias(n))
-                .withColumn(over, F.col(n) > F.lit(limit)))
+    keep = [column(c) for c in docs.columns if c.lower() not in {x.lower() for x in names}]
+    return (docs.select(*keep, F.coalesce(F.octet_length(column(text_col)), F.lit(0)).cast("long").alias(b),
+                        token_count(column(text_col), path).alias(n))
+                .withColumn(over, column(n) > F.lit(limit)))

@@ -124,3 +124,24 @@ def test_inserted_words_at_any_place_of_the_text():
     copy = w[:10] + [b"more"] * 7 + w[10:45] + [b"words"] * 8 + w[45:]
     texts = [[b"x"] * k + copy + [b"y"] * 90 for k in range(150)]
     assert len(index.leaks(texts)) == len(texts)
+
+
+def test_shards_do_not_change_a_score(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(i, f"{common.words(rng, 400, rng.randrange(6, 40))}. {common.words(rng, 400, 9)}.")
+             for i in range(80)]
+    texts = []
+    for i, t in items:
+        w = t.replace(".", "").split()
+        w[rng.randrange(len(w))] = "altered"
+        texts.append((i, " ".join([common.words(rng, 400, 50), *w, common.words(rng, 400, 30)])))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def rows():
+        return sorted((r[0], r[1], *[round(x, 9) for x in r[2:]])
+                      for r in D.leaks(docs, bench).collect())
+
+    one = rows()
+    monkeypatch.setattr(D, "SHARD_BYTES", 3000)
+    assert len(one) > 60 and rows() == one

@@ -157,3 +157,30 @@ def test_choice_is_bounded_and_independent_of_order():
         for part, gold in S.stretches(t):
             assert len(part) <= 2 * S.MAX_STRETCH
             assert set(gold) <= set(S.base_spans(part))
+
+
+def test_number_dense_text_is_cut_into_bounded_pieces(monkeypatch):
+    import random
+    from tabrix.llm import pii_semicrf as P
+    rng = random.Random(3)
+    text = " ".join(str(rng.randrange(10 ** rng.randrange(1, 6))) for _ in range(9000))
+    text = text[:15000] + " mail ann [at] site [dot] org now " + text[15000:]
+    longest = []
+    real = P.Lattice
+
+    class Watched(real):
+        def __init__(self, t, a, b):
+            longest.append(b - a)
+            super().__init__(t, a, b)
+
+    monkeypatch.setattr(P, "Lattice", Watched)
+    (a, b), *more = P.regions(text)
+    assert not more and b - a > 3 * P.PIECE
+    cut = list(P.pieces(text, a, b))
+    assert cut[0][2] == a and cut[-1][3] == b
+    assert all(x[3] == y[2] for x, y in zip(cut, cut[1:]))
+    w = {"email": 6.0, "phone": -1.0, "card": -1.0, "ip": -1.0}
+    got = list(P._decoded(text, a, b, w, 0.9))
+    assert max(longest) <= P.PIECE + 2 * P.MARGIN
+    assert got == real(text, a, b).decode(w, 0.9)
+    assert any(text[x:y].startswith("ann [at] site") for _, x, y in got)
