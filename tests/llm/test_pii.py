@@ -179,7 +179,7 @@ def test_number_dense_text_is_cut_into_bounded_pieces(monkeypatch):
     cut = list(P.pieces(text, a, b))
     assert cut[0][2] == a and cut[-1][3] == b
     assert all(x[3] == y[2] for x, y in zip(cut, cut[1:]))
-    w = {"email": 6.0, "phone": -1.0, "card": -1.0, "ip": -1.0}
+    w = {"email": -3.0, "emaillike=True": 9.0, "phone": -1.0, "card": -1.0, "ip": -1.0}
     got = list(P._decoded(text, a, b, w, 0.9))
     assert max(longest) <= P.PIECE + 2 * P.MARGIN
     assert got == real(text, a, b).decode(w, 0.9)
