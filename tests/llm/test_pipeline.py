@@ -10,7 +10,7 @@ def test_stages_and_registration():
         "quality classifier", "line dedup", "simhash near-dedup", "benchmark decontamination",
         "bpe encoding and decoding"]
     assert QUERIES["pipeline"] is P.run
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
