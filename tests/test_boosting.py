@@ -195,3 +195,29 @@ def test_awkward_rows(spark):
     assert none.trees == [] and B.score_all([none], df.limit(0), ["id"]).collect() == []
     with pytest.raises(ValueError):
         B.fit_many(df.withColumn("w", F.lit(-1.0)), FEATURES, [B.Job(cfg)], [F.lit(1)], weight="w")
+
+
+def test_partial_sums_of_a_pass_do_not_grow_with_the_rows(spark):
+    df = spark.range(1)
+    cores = spark.sparkContext.defaultParallelism
+    for rows in (cores * B.PART_ROWS // 4, cores * B.PART_ROWS):
+        assert B.tasks(df, rows, B.BLOCK_ROWS, B.TASK_ROWS) == cores
+    assert B.tasks(df, 10 * cores * B.PART_ROWS, B.BLOCK_ROWS, B.TASK_ROWS) == 10 * cores
+
+
+def test_rows_parted_by_node_end_in_their_leaves():
+    """Root on feature 0 (missing right), left child on a category set, right child on feature 0."""
+    tree = B.Tree(np.array([0, 1, 0, -1, -1, -1, -1]), np.array([2, -1, 3, -1, -1, -1, -1]),
+                  np.array([False] * 7), np.array([-1, 0, -1, -1, -1, -1, -1]),
+                  np.array([1, 3, 5, -1, -1, -1, -1]), np.array([2, 4, 6, -1, -1, -1, -1]),
+                  np.arange(7.0), np.zeros(7, int), np.zeros(7),
+                  np.array([[True, False, True, False, False]]))
+    bins = np.array([[0, 1, 2, 3, 4, 1, 2], [0, 0, 1, 2, 3, 4, 2]], np.uint8)
+    want = [6, 3, 4, 5, 6, 4, 3]
+    got = {n: r.tolist() for n, r in tree.parts(bins, np.arange(7))}
+    assert got == {n: [i for i, w in enumerate(want) if w == n] for n in (3, 4, 5, 6)}
+    some = dict(tree.parts(bins, np.arange(7), np.arange(7) == 4))
+    assert list(some) == [4] and some[4].tolist() == [2, 5]
+    margin = np.zeros(7)
+    tree.add_to(margin, bins)
+    assert margin.tolist() == want
