@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tabrix.operators import forest as T
@@ -126,3 +127,30 @@ def test_full_size_runs(spark):
     assert np.mean(pos) > np.mean(neg) + 0.1
     empty = T.fit_forests(df.limit(0), FEATURES, [F.lit(1)], trees=2)
     assert empty[0].trees == []
+
+
+@pytest.mark.parametrize("few", [0, 45, 10 ** 6])
+def test_subtrees_of_nodes_left_aside_equal_a_plain_version(spark, monkeypatch, few):
+    rows = table()
+    x, y = arrays(rows)
+    passes = []
+    ranges = T._ranges
+    monkeypatch.setattr(T, "FINISH_BYTES", few * 8 * len(FEATURES))
+    monkeypatch.setattr(T, "SHUFFLE_BYTES", 2000)
+    monkeypatch.setattr(T, "_ranges", lambda *a: passes.append(1) or ranges(*a))
+    forest, = T.fit_forests(frame(spark, rows), FEATURES, [F.lit(1)], trees=3, max_depth=9,
+                            min_rows=6, take=2, seeds=[11])
+    assert [shape(t) for t in forest.trees] == [plain(x, y, T.mix(11, t), 9, 6, 2)
+                                                for t in range(3)]
+    assert (not passes) == (few > len(rows))  # small tables take no passes
+
+
+def test_groups_of_trees_are_bounded_by_their_rows(spark, monkeypatch):
+    rows = table(200)
+    sizes = []
+    grow = T._grow
+    monkeypatch.setattr(T, "GROUP_BYTES", 3 * 200 * 8 * len(FEATURES))
+    monkeypatch.setattr(T, "_grow", lambda p, nf, roles, *a: sizes.append(len(roles)) or grow(
+        p, nf, roles, *a))
+    forest, = T.fit_forests(frame(spark, rows), FEATURES, [F.lit(1)], trees=7)
+    assert sizes == [3, 3, 1] and len(forest.trees) == 7
