@@ -107,3 +107,18 @@ def test_score_algebra_conveniences(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, 0.7), (0, 0.75)], "y int, p double")
     t, f1, table = V.search_threshold(df)
     assert table.count() == 50 and 0.3 <= t < 0.8 and f1 > 0
+
+
+def test_mllib_fits_take_tasks_of_bounded_rows(spark, monkeypatch):
+    from tabrix.operators import models as G
+    seen = []
+    parted = G._parted
+    monkeypatch.setattr(G, "FIT_ROWS", 100)
+    monkeypatch.setattr(G, "_parted", lambda d: seen.append(parted(d)) or seen[-1])
+    df = spark.range(950).coalesce(1).selectExpr("id", "cast(id % 3 = 0 as int) AS y",
+                                                 "double(id % 7) AS a", "double(id % 5) AS b")
+    G.fit_gbt(df, ["a", "b"], G.TreeConfig(max_iter=2, max_depth=2, learner="mllib"))
+    G.fit_forest(df.repartition(20), ["a", "b"], G.TreeConfig(num_trees=2, max_depth=2,
+                                                              learner="mllib"))
+    assert [d.rdd.getNumPartitions() for d in seen] == [10, 20]
+    assert [d.count() for d in seen] == [950, 950]
