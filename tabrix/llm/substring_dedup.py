@@ -6,8 +6,8 @@ smallest hash (leftmost on ties) is its anchor, so equal windows have their anch
 place and every window belongs to exactly one.  An anchor's k words are the prefix that deals
 suffixes to groups; prefixes that occur once have no inner node and end there.
 
-Prefixes are dealt to groups of about ``GROUP`` suffixes.  A prefix with more than a fourth of
-that is lengthened to the whole window, and each task first keeps only the earliest of its
+Prefixes are dealt to groups of about ``GROUP`` suffixes.  A prefix with more than three fourths
+of that is lengthened to the whole window, and each task first keeps only the earliest of its
 equal windows, so no group holds more than one suffix of such a window per task flush.  In each
 group the suffixes are sorted word by word (by doubling); neighbours with a common prefix of
 ``window`` words lie below one inner node of that depth, whose leaves are the occurrences of a
@@ -33,7 +33,7 @@ from tabrix.session import materialize
 
 WINDOW = 20
 ANCHOR = 8
-GROUP = 120_000
+GROUP = 40_000  # one group is a task's arrays: about 100 MB
 BATCH_BYTES = 4 << 20
 FLUSH = 100_000
 NULL_ID = -(1 << 63)  # stands for a null id: before all others
@@ -197,9 +197,9 @@ def _word_numbers(words: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
         words = words.combine_chunks()
     split = pa.compute.split_pattern(words.cast(pa.large_string()), " ")
     if not len(split):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
     flat = split.flatten().dictionary_encode()
-    return (flat.indices.to_numpy().astype(np.int64),
+    return (flat.indices.to_numpy().astype(np.int32),
             pa.compute.list_value_length(split).to_numpy().astype(np.int64))
 
 
@@ -214,8 +214,8 @@ def deep_repeats(words: list[bytes] | pa.ChunkedArray, count: np.ndarray, window
     names, depth = {1: name}, 1
     while depth * 2 <= window:  # names of runs of 2, 4, 8, 16 ... words, by first occurrence
         a = names[depth]
-        pair = a[:max(0, len(a) - depth)] << 32 | a[depth:]
-        names[depth * 2] = pd.factorize(pair)[0]
+        pair = a[:max(0, len(a) - depth)].astype(np.int64) << 32 | a[depth:]
+        names[depth * 2] = pd.factorize(pair)[0].astype(np.int32)
         depth *= 2
     base = size.cumsum() - size
     row = np.repeat(np.arange(len(size)), count)
@@ -226,7 +226,7 @@ def deep_repeats(words: list[bytes] | pa.ChunkedArray, count: np.ndarray, window
         while at + d <= window:
             keys.append(names[d][start + at])
             at += d
-    key = keys[0]
+    key = keys[0].astype(np.int64)
     for more in keys[1:]:  # one name for all words of a window
         key = pd.factorize(key << 32 | more)[0]
     order = np.argsort(key, kind="stable")
@@ -292,7 +292,7 @@ def _removed(src: DataFrame, window: int, keep_text: bool) -> DataFrame:
     groups = max(1, -(-total // GROUP))
     found = (table.join(prefixes, "h")
              .groupBy("doc").agg(F.collect_list(F.struct(
-                 F.pmod("h", F.lit(groups)).cast("int").alias("grp"), "at", (F.col("n") > GROUP // 4).alias("big"))).alias("found")))
+                 F.pmod("h", F.lit(groups)).cast("int").alias("grp"), "at", (F.col("n") > GROUP * 3 // 4).alias("big"))).alias("found")))
     suffixes = _suffixes(src.join(found, "doc"), groups, window)
     gone = (suffixes.groupBy("grp").applyInArrow(
                 lambda t: _tree(t, window), "doc long, start long, mask long")

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabrix.llm import substring_dedup as S
@@ -94,6 +96,20 @@ def test_tree_nodes_are_equal_windows():
     assert all(len(v) == 1 for v in of.values()) and len(of) == 2
 
 
+def test_a_full_group_fits_a_worker():
+    rng = np.random.default_rng(4)
+    pool = np.array([f"word{i}" for i in range(30_000)])
+    words = [" ".join(w).encode() for w in pool[rng.integers(0, len(pool), (S.GROUP, 26))]]
+    table = pa.table({"words": pa.array(words, pa.binary()), "doc": np.arange(S.GROUP),
+                      "at": np.full(S.GROUP, 6 << 16 | 6), "mask": pa.nulls(S.GROUP, pa.int64())})
+    tracemalloc.start()
+    try:
+        assert S._tree(table, 20).num_rows == 0  # no window twice
+        assert tracemalloc.get_traced_memory()[1] < 120e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_registered_query_equals_brute_force(spark):
     from tabrix.llm.queries import QUERIES
     got = sorted((tuple(r) for r in QUERIES["op6_substring_dedup"](
