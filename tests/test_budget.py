@@ -37,3 +37,22 @@ def test_registered_queries_use_all_folds_and_seeds(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         Q.g12_refit(spark, SF_SMALL)
     assert calls == [(5, [42, 2024]), (5, [99])]
+
+
+@pytest.mark.parametrize("query, workflow", [
+    ("wf_onehot_cv", "onehot_cv"), ("wf_encoders_holdout", "encoders_holdout"),
+    ("wf_hybrid_ensemble", "hybrid_ensemble"), ("wf_balanced", "balanced"),
+    ("wf_trial", "trial")])
+def test_registered_workflows_run_at_the_references_sizes(spark, monkeypatch, query, workflow):
+    given = []
+
+    def run(tr, te, out, budget):
+        given.append(budget.of(workflow))
+        raise InterruptedError
+
+    monkeypatch.setattr(WF, workflow, run)
+    with pytest.raises(InterruptedError):
+        getattr(Q, query)(spark, SF_SMALL)
+    b = given[0]
+    assert (b.trials, b.rounds, b.final_rounds) == WF.REFERENCE[workflow]
+    assert (b.folds, b.depth, b.seeds, b.forest_trees) == (5, 8, (42, 2024), 500)
